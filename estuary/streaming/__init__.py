@@ -1,0 +1,7 @@
+"""Streaming.
+
+The survey processing is a batch job over finished survey seasons; it has
+no streams, watermarks, late data or stateful operators, so this package
+defines nothing.  Incremental loading of a new survey year is a batch
+``append_years`` (see ``estuary.sources.io``) followed by a re-run.
+"""

@@ -61,9 +61,9 @@ def catch_taxa(counts: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     df = df.withColumns({
         "bay": F.substring("reference", 1, 2),
         "bio_reference": bio_reference("reference", "SC", sl),
-        "nodccode": clean_code("NODCCODE"),
+        "taxon_code": clean_code("NODCCODE"),
     })
-    df = df.withColumns(taxon_levels("nodccode"))
+    df = df.withColumns(taxon_levels("taxon_code"))
     df = df.withColumn("number", expand_count("Number", "Splittype", sl, "Cells"))
     df = df.withColumn("species", lump_genera("species", "genus", "bay"))
     return df

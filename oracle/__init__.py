@@ -1,0 +1 @@
+"""Independent SQL oracle (DuckDB dialect) for every registered query."""

@@ -1,0 +1,26 @@
+"""Join helpers with explicit, checked broadcast decisions."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Reference dictionaries (code lists, species lists) hold hundreds to a few
+# thousand rows; above this many rows a dictionary is joined by shuffle.
+MAX_BROADCAST_ROWS = 200_000
+
+
+_checked: dict[tuple[int, int], bool] = {}
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
+
+    The check is ``limit(max_rows + 1).count()``: a small job that stops
+    reading as soon as the bound is exceeded, so it costs next to nothing on
+    a reference table and never scans a large one in full.  Beyond the
+    bound the DataFrame is returned unhinted and the planner picks a
+    shuffled join (AQE still re-checks sizes at run time).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

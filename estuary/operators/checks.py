@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions import lookups as L
+from estuary.functions.joins import bounded_broadcast
 from estuary.functions.rsem import ColumnOrName, c, in_set, keep_existing
 
 MISSING_COLUMNS = ["reference", "historic_reference", "gr", "effort", "number", "cf"]

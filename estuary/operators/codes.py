@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from estuary.functions.joins import bounded_broadcast
+
 BOTTOM_FIELD, VEG_FIELD, SHORE_FIELD = "BottomType", "BottomVeg", "ShoreType"
 
 
 def codes_for(codes: DataFrame, fieldname: str) -> DataFrame:
     """B1: (code, description, category) of one field.
 
-    The dictionary is reference data (tens of rows per field).  It is not
-    hinted: the planner sees its size and broadcasts it through the normal
-    size check, and AQE re-checks the measured size at run time.
+    The dictionary is reference data (tens of rows per field).  It is
+    broadcast after a bounded row-count check, so every lookup is a
+    map-side hash join and the (large) habitat table is never shuffled for
+    it; an oversized dictionary falls back to a shuffled join.
     """
-    return (codes.where(F.col("fieldname") == fieldname)
-                 .select("code", "description", "category"))
+    return bounded_broadcast(codes.where(F.col("fieldname") == fieldname)
+                                  .select("code", "description", "category"))

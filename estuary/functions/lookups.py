@@ -12,7 +12,7 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from estuary.functions.rsem import ColumnOrName, c
+from estuary.functions.rsem import ColumnOrName, c, sql_lit
 
 # ---------------------------------------------------------------------------
 # Gear groups.  (group, member gear codes, inclusive ranges)
@@ -125,7 +125,7 @@ PROJECT_OTHER = "Other"
 
 
 def _map(d: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(d.items())])
+    return F.expr("map(" + ", ".join(sql_lit(x) for x in chain.from_iterable(d.items())) + ")")
 
 
 def lookup(d: dict[str, str], key: ColumnOrName) -> Column:

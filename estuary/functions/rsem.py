@@ -20,6 +20,26 @@ def c(x: ColumnOrName) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def q(name: str) -> str:
+    """Back-quoted column name for SQL expression text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_lit(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
+def case_expr(branches: list[tuple[str, str]], otherwise: str = "NULL") -> Column:
+    """One ``CASE WHEN .. THEN .. END`` built from SQL text: a single JVM call
+    instead of one per sub-expression when chains have dozens of branches."""
+    body = " ".join(f"WHEN {cond} THEN {val}" for cond, val in branches)
+    return F.expr(f"CASE {body} ELSE {otherwise} END")
+
+
 def num(x: ColumnOrName) -> Column:
     """``as.numeric``: text to DOUBLE, unparsable text becomes NULL (never an error)."""
     return c(x).try_cast("double")

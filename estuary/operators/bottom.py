@@ -6,7 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions import lookups as L
-from estuary.functions.rsem import ColumnOrName, c, not_in_set, num, paste0
+from estuary.functions.rsem import ColumnOrName, c, case_expr, num, q, sql_lit
+
+
+def _names(xs) -> str:
+    return ", ".join(sql_lit(x) for x in xs)
 from estuary.operators.codes import BOTTOM_FIELD, codes_for
 from estuary.operators.physical import restrict
 
@@ -30,15 +34,23 @@ BOTTOM_LABELS = [
 ]
 
 
-def bottom_valid(code: ColumnOrName) -> Column:
-    code = c(code)
-    return code.isNotNull() & not_in_set(code, L.BOTTOM_DROP)
+def bottom_valid_sql(code: str) -> str:
+    return f"({code} IS NOT NULL AND {code} NOT IN ({_names(L.BOTTOM_DROP)}))"
+
+
+def bottom_valid(code: str) -> Column:
+    """Usable bottom code: present and not a placeholder."""
+    return F.expr(bottom_valid_sql(q(code)))
+
+
+def bottom_category_sql(code: str, category: str) -> str:
+    return (f"CASE WHEN {code} = {sql_lit(L.BOTTOM_UNKNOWN)} THEN 'bUnk' "
+            f"ELSE concat('b', coalesce(substring({category}, 1, 3), 'NA')) END")
 
 
-def bottom_category(code: ColumnOrName, category: ColumnOrName) -> Column:
-    """'b' + first three letters of the category; unknown code 'U' -> bUnk."""
-    return (F.when(c(code) == L.BOTTOM_UNKNOWN, F.lit("bUnk"))
-             .otherwise(paste0(F.lit("b"), F.substring(c(category), 1, 3))))
+def bottom_category(code: str, category: str) -> Column:
+    """'b' + first three letters of the category ("bNA" without one); code 'U' -> bUnk."""
+    return F.expr(bottom_category_sql(q(code), q(category)))
 
 
 def bottom_flag_key(bottom_cat: ColumnOrName) -> Column:
@@ -87,18 +99,13 @@ def bottom_pivot(cats: DataFrame) -> DataFrame:
     return cats.groupBy("reference").agg(*bottom_flag_aggs())
 
 
-def bottom_label(bmud: ColumnOrName = "bmud", bsan: ColumnOrName = "bsan",
-                 bstr: ColumnOrName = "bstr", bunk: ColumnOrName = "bunk") -> Column:
+def bottom_label(bmud: str = "bmud", bsan: str = "bsan", bstr: str = "bstr",
+                 bunk: str = "bunk") -> Column:
     """Bottom label from the four flags (NULL for unlabelled combinations)."""
-    flags = [c(bmud), c(bsan), c(bstr), c(bunk)]
-    expr = None
-    for pattern, label in BOTTOM_LABELS:
-        cond = None
-        for col, v in zip(flags, pattern):
-            t = col == v
-            cond = t if cond is None else cond & t
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(None).cast("string"))
+    flags = [q(bmud), q(bsan), q(bstr), q(bunk)]
+    branches = [(" AND ".join(f"{f} = {v}" for f, v in zip(flags, pattern)), f"'{label}'")
+                for pattern, label in BOTTOM_LABELS]
+    return case_expr(branches, "CAST(NULL AS STRING)")
 
 
 def bottom_summary(hab: DataFrame, codes: DataFrame, keys: DataFrame | None = None) -> DataFrame:

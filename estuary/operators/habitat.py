@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estuary.functions.rsem import in_set, num
+from estuary.functions.rsem import num, q
 from estuary.operators import bottom as B
 from estuary.operators import shore as S
 from estuary.operators import vegetation as V
@@ -38,33 +38,36 @@ def _dict(codes: DataFrame, field: str, prefix: str) -> DataFrame:
 def classified_rows(hab: DataFrame, codes: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Every habitat row classified for all three components.
 
-    Three left joins with the (tiny) code dictionary; the planner broadcasts
-    it, so this stays a map-side pipeline with no shuffle."""
+    Three left joins with the (tiny, checked-and-broadcast) code dictionary:
+    a map-side pipeline with no shuffle."""
     df = hab if keys is None else restrict(hab, keys)
+    vcode = V.veg_code_sql("bottomveg")
     df = df.select(
-        "reference", "bottomtype",
-        V.veg_code("bottomveg").alias("v_code"),
-        (V.veg_valid("bottomveg") & F.coalesce(
-            V.veg_keep(num("habitat_record_id"), V.veg_code("bottomveg")), F.lit(False))).alias("v_valid"),
-        num("BottomVegRatio").alias("v_raw_ratio"),
-        "shoretype", num("ShoreTypeRatio").alias("s_raw_ratio"),
-        S.yes_no("Inund").alias("s_inund"), S.yes_no("Over").alias("s_over"))
+        "reference", "bottomtype", "shoretype",
+        F.expr(vcode).alias("v_code"),
+        F.expr(f"{V.veg_valid_sql('bottomveg')} AND coalesce("
+               f"{V.veg_keep_sql('try_cast(habitat_record_id AS DOUBLE)', vcode)}, false)").alias("v_valid"),
+        F.expr("try_cast(BottomVegRatio AS DOUBLE)").alias("v_raw_ratio"),
+        F.expr("try_cast(ShoreTypeRatio AS DOUBLE)").alias("s_raw_ratio"),
+        F.expr(S.yes_no_sql("Inund")).alias("s_inund"), F.expr(S.yes_no_sql("`Over`")).alias("s_over"))
     bd, vd, sd = (_dict(codes, BOTTOM_FIELD, "b_"), _dict(codes, VEG_FIELD, "vd_"),
                   _dict(codes, SHORE_FIELD, "s_"))
     df = df.join(bd, df["bottomtype"] == bd["b_code"], "left")
     df = df.join(vd, df["v_code"] == vd["vd_code"], "left")
     df = df.join(sd, df["shoretype"] == sd["s_code"], "left")
-    s_ratio = S.shore_ratio("shoretype", "s_raw_ratio")
+    s_ratio = S.shore_ratio_sql("shoretype", "s_raw_ratio")
     return df.select(
-        "reference",
-        B.bottom_valid("bottomtype").alias("b_valid"),
-        B.bottom_category("bottomtype", "b_category").alias("b_cat"),
-        "v_valid", "v_code", V.veg_ratio("v_code", "v_raw_ratio").alias("v_ratio"),
-        V.veg_cat("v_code", "vd_category").alias("v_cat"), F.col("vd_description").alias("v_desc"),
-        S.shore_valid("shoretype").alias("s_valid"), s_ratio.alias("s_ratio"),
-        S.shore_cat("s_category").alias("s_cat"),
-        (F.when(F.col("s_over") == "YES", 1.0).otherwise(0.0) * s_ratio).alias("s_ovr_wt"),
-        (F.when(F.col("s_inund") == "YES", 1.0).otherwise(0.0) * s_ratio).alias("s_ind_wt"),
+        "reference", "v_valid", "v_code",
+        F.expr(B.bottom_valid_sql("bottomtype")).alias("b_valid"),
+        F.expr(B.bottom_category_sql("bottomtype", "b_category")).alias("b_cat"),
+        F.expr(V.veg_ratio_sql("v_code", "v_raw_ratio")).alias("v_ratio"),
+        F.expr(V.veg_cat_sql("v_code", "vd_category")).alias("v_cat"),
+        F.col("vd_description").alias("v_desc"),
+        F.expr(S.shore_valid_sql("shoretype")).alias("s_valid"),
+        F.expr(s_ratio).alias("s_ratio"),
+        F.expr(S.shore_cat_sql("s_category")).alias("s_cat"),
+        F.expr(f"CASE WHEN s_over = 'YES' THEN 1.0D ELSE 0.0D END * ({s_ratio})").alias("s_ovr_wt"),
+        F.expr(f"CASE WHEN s_inund = 'YES' THEN 1.0D ELSE 0.0D END * ({s_ratio})").alias("s_ind_wt"),
     )
 
 
@@ -88,27 +91,24 @@ def habitat_columns(df: DataFrame, veg_cover_raw: str = "bottomvegcover",
     """Turn the aggregates into the R9 columns, given the haul's raw cover texts.
 
     Components a haul has no usable row for are NULL (as after a full join).
-    The haul's own cover columns are left untouched."""
-    has_b, has_v, has_s = (F.col("_has_bottom") == 1, F.col("_has_veg") == 1,
-                           F.col("_has_shore") == 1)
+    The haul's own cover columns are left untouched.  Each stage is one
+    projection (later stages read earlier results, as sequential R mutate
+    lines do)."""
     df = df.withColumns({VEG_COVER: V.cover_for_weights(veg_cover_raw),
-                         SHORE_COVER: num(shore_cover_raw)})
-    df = df.withColumn("bottom", B.bottom_label())
+                         SHORE_COVER: F.expr(f"try_cast({q(shore_cover_raw)} AS DOUBLE)"),
+                         "bottom": B.bottom_label()})
     df = V.finish(df, cover=VEG_COVER)
-    ovr = S.share("_s_ovr_wt1", "_s_str")
-    ind = S.share("_s_ind_wt1", "_s_str")
-    df = df.withColumns({"ovr_per": S.percent(SHORE_COVER, ovr),
-                         "ind_per": S.percent(SHORE_COVER, ind)})
-    df = df.withColumns({k: S.cap(k) for k in S.SHORE_CATS})
+    ovr = S.share_sql("_s_ovr_wt1", "_s_str")
+    ind = S.share_sql("_s_ind_wt1", "_s_str")
+    df = df.withColumns({"ovr_per": F.expr(S.percent_sql(SHORE_COVER, ovr)),
+                         "ind_per": F.expr(S.percent_sql(SHORE_COVER, ind)),
+                         **{k: S.cap(k) for k in S.SHORE_CATS}})
     df = df.withColumn("shore", S.shore_label())
-    groups = [(has_b, [*B.BOTTOM_FLAGS, "bottom"]),
-              (has_v, [*V.VEG_CATS, "bveg", "DominantVeg"]),
-              (has_s, [*S.SHORE_CATS, "shore", "ovr_per", "ind_per"])]
-    out = {}
-    for cond, cols in groups:
-        for k in cols:
-            out[k] = F.when(cond, F.col(k))
-    df = df.withColumns(out)
+    groups = [("_has_bottom", [*B.BOTTOM_FLAGS, "bottom"]),
+              ("_has_veg", [*V.VEG_CATS, "bveg", "DominantVeg"]),
+              ("_has_shore", [*S.SHORE_CATS, "shore", "ovr_per", "ind_per"])]
+    df = df.withColumns({k: F.expr(f"CASE WHEN {flag} = 1 THEN {q(k)} END")
+                         for flag, cols in groups for k in cols})
     internal = [x for x in df.columns if x.startswith("_")]
     return df.drop(*internal)
 

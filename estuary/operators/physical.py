@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from estuary.config import SurveyConfig
 from estuary.functions import lookups as L
-from estuary.functions.rsem import ColumnOrName, c, in_set, paste0
+from estuary.functions.rsem import ColumnOrName, c, case_expr, in_set, paste0, q
 
 
 def _both_cases(code: str) -> list[str]:
@@ -51,46 +51,37 @@ def select_hauls(hauls: DataFrame, cfg: SurveyConfig) -> DataFrame:
     return hauls if pred is None else hauls.where(pred)
 
 
-def gear_group(gear: ColumnOrName, stratum: ColumnOrName,
+def gear_group(gear: str = "gear", stratum: str = "stratum",
                split_shore_stratum: bool = False) -> Column:
     """Combine gear codes into gear groups (INT; NULL when unknown).
 
     With ``split_shore_stratum`` a gear-20 haul in stratum 'S' becomes group
     19 (beach stratum); otherwise the first matching group (20) wins.
     """
-    g, s = c(gear), c(stratum)
-    expr = None
-
-    def add(cond, val):
-        nonlocal expr
-        expr = F.when(cond, F.lit(val)) if expr is None else expr.when(cond, F.lit(val))
-
-    shore = (g == L.SHORE_STRATUM_GEAR) & (s == L.SHORE_STRATUM)
+    g, s = q(gear), q(stratum)
+    branches = []
+    shore = (f"{g} = {L.SHORE_STRATUM_GEAR} AND {s} = '{L.SHORE_STRATUM}'", str(L.SHORE_STRATUM_GROUP))
     if split_shore_stratum:
-        add(shore, L.SHORE_STRATUM_GROUP)
+        branches.append(shore)
     for group, members, ranges in L.GEAR_GROUPS:
-        cond = None
+        terms = []
         if members:
-            cond = g.isin(list(members))
-        for lo, hi in ranges:
-            r = (g >= lo) & (g <= hi)
-            cond = r if cond is None else (cond | r)
-        add(cond, group)
-    return expr.otherwise(F.lit(None)).cast("int")
+            terms.append(f"{g} IN ({', '.join(map(str, members))})")
+        terms += [f"({g} >= {lo} AND {g} <= {hi})" for lo, hi in ranges]
+        branches.append((" OR ".join(terms), str(group)))
+    return case_expr(branches).cast("int")
 
 
-def effort_100m2(gr: ColumnOrName, soakhr: ColumnOrName, soakmin: ColumnOrName,
-                 dist_tow: ColumnOrName) -> Column:
+def effort_100m2(gr: str = "gr", soakhr: str = "soakhr", soakmin: str = "soakmin",
+                 dist_tow: str = "dist_tow") -> Column:
     """Sampling effort in 100 m2 (gillnets: soak hours; trawls: tow area)."""
-    gr = c(gr)
-    expr = None
-    for groups, value in L.EFFORT_CONSTANT.items():
-        cond = gr.isin(list(groups))
-        expr = F.when(cond, F.lit(value)) if expr is None else expr.when(cond, F.lit(value))
-    expr = expr.when(gr == L.GILLNET_GROUP, c(soakhr) + c(soakmin) / 60.0)
-    expr = expr.when(gr == L.TRAWL_GROUP,
-                     (c(dist_tow) * L.TRAWL_WIDTH_M * L.METRES_PER_NAUTICAL_MILE) / 100.0)
-    return expr.otherwise(F.lit(None)).cast("double")
+    g = q(gr)
+    branches = [(f"{g} IN ({', '.join(map(str, groups))})", f"CAST({value!r} AS DOUBLE)")
+                for groups, value in L.EFFORT_CONSTANT.items()]
+    branches.append((f"{g} = {L.GILLNET_GROUP}", f"{q(soakhr)} + {q(soakmin)} / 60.0D"))
+    branches.append((f"{g} = {L.TRAWL_GROUP}",
+                     f"({q(dist_tow)} * {L.TRAWL_WIDTH_M} * {L.METRES_PER_NAUTICAL_MILE}) / 100.0D"))
+    return case_expr(branches).cast("double")
 
 
 def zone_key(bay: ColumnOrName, zone: ColumnOrName) -> Column:
@@ -98,13 +89,14 @@ def zone_key(bay: ColumnOrName, zone: ColumnOrName) -> Column:
     return paste0(bay, zone)
 
 
-def depth_slope(gr: ColumnOrName, startdepth: ColumnOrName, wng_dpth: ColumnOrName,
-                enddepth: ColumnOrName) -> Column:
+def depth_slope(gr: str = "gr", startdepth: str = "startdepth", wng_dpth: str = "wng_dpth",
+                enddepth: str = "enddepth") -> Column:
     """|start depth - wing depth| for seines, |start - end| for trawls."""
-    gr = c(gr)
-    return (F.when(gr.isin(list(L.SLOPE_WING_GROUPS)), F.abs(c(startdepth) - c(wng_dpth)))
-             .when(gr == L.TRAWL_GROUP, F.abs(c(startdepth) - c(enddepth)))
-             .otherwise(F.lit(None)).cast("double"))
+    g = q(gr)
+    return case_expr([
+        (f"{g} IN ({', '.join(map(str, L.SLOPE_WING_GROUPS))})", f"abs({q(startdepth)} - {q(wng_dpth)})"),
+        (f"{g} = {L.TRAWL_GROUP}", f"abs({q(startdepth)} - {q(enddepth)})"),
+    ]).cast("double")
 
 
 def with_physical_vars(hauls: DataFrame, split_shore_stratum: bool = False) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions import lookups as L
-from estuary.functions.rsem import ColumnOrName, c, in_set, not_in_set, num, r_ifelse
+from estuary.functions.rsem import ColumnOrName, c, case_expr, num, q, sql_lit
 from estuary.operators.codes import SHORE_FIELD, codes_for
 from estuary.operators.physical import restrict
 
@@ -38,20 +38,34 @@ def shore_cover(fld: DataFrame) -> DataFrame:
     return fld.select("reference", num("TotalShoreCover").alias("TotalShoreCover"))
 
 
-def shore_valid(code: ColumnOrName) -> Column:
-    code = c(code)
-    return code.isNotNull() & not_in_set(code, L.SHORE_DROP)
+def _names(xs) -> str:
+    return ", ".join(sql_lit(x) for x in xs)
 
 
-def shore_ratio(code: ColumnOrName, ratio: ColumnOrName) -> Column:
-    code, ratio = c(code), c(ratio)
-    return (F.when((code != L.VEG_NONE) & (ratio.isNull() | (ratio == 0)), F.lit(0.1))
-             .otherwise(ratio))
+def shore_valid_sql(code: str) -> str:
+    return f"({code} IS NOT NULL AND {code} NOT IN ({_names(L.SHORE_DROP)}))"
 
 
-def yes_no(x: ColumnOrName) -> Column:
+def shore_valid(code: str) -> Column:
+    return F.expr(shore_valid_sql(q(code)))
+
+
+def shore_ratio_sql(code: str, ratio: str) -> str:
+    return (f"CASE WHEN {code} <> {sql_lit(L.VEG_NONE)} AND ({ratio} IS NULL OR {ratio} = 0) "
+            f"THEN 0.1D ELSE {ratio} END")
+
+
+def shore_ratio(code: str, ratio: str) -> Column:
+    return F.expr(shore_ratio_sql(q(code), q(ratio)))
+
+
+def yes_no_sql(x: str) -> str:
     """'1'..'10' or 'YES' -> 'YES', anything else (NULL included) -> 'NO'."""
-    return F.when(in_set(x, L.YES_VALUES), F.lit("YES")).otherwise(F.lit("NO"))
+    return f"CASE WHEN {x} IN ({_names(L.YES_VALUES)}) THEN 'YES' ELSE 'NO' END"
+
+
+def yes_no(x: str) -> Column:
+    return F.expr(yes_no_sql(q(x)))
 
 
 def shore_rows(hab: DataFrame, keys: DataFrame | None = None) -> DataFrame:
@@ -61,14 +75,19 @@ def shore_rows(hab: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     extra = ["level"] if "level" in df.columns else []
     return df.select("reference", num("habitat_record_id").alias("habitat_record_id"),
                      F.col("shoretype").alias("code"),
-                     shore_ratio("shoretype", num("ShoreTypeRatio")).alias("ShoreTypeRatio"),
+                     F.expr(shore_ratio_sql("shoretype", "try_cast(ShoreTypeRatio AS DOUBLE)"))
+                      .alias("ShoreTypeRatio"),
                      yes_no("Inund").alias("Inund"), yes_no("Over").alias("Over"), *extra)
 
 
-def shore_cat(category: ColumnOrName) -> Column:
+def shore_cat_sql(category: str) -> str:
+    return (f"CASE WHEN {category} IS NULL THEN NULL WHEN {category} = {sql_lit(L.MANMADE)} "
+            f"THEN 'Str' ELSE substring({category}, 1, 3) END")
+
+
+def shore_cat(category: str) -> Column:
     """First three letters of the category; man-made shores count as structure."""
-    cat = c(category)
-    return r_ifelse(cat == L.MANMADE, F.lit("Str"), F.substring(cat, 1, 3))
+    return F.expr(shore_cat_sql(q(category)))
 
 
 def shore_categories(rows: DataFrame, codes: DataFrame) -> DataFrame:
@@ -81,20 +100,29 @@ def shore_categories(rows: DataFrame, codes: DataFrame) -> DataFrame:
                            "ind_wt": F.col("inr") * F.col("ShoreTypeRatio")})
 
 
-def ref_year(reference: ColumnOrName = "reference") -> Column:
+def ref_year_sql(reference: str = "reference") -> str:
     """Survey year from characters 4-7 of the haul key."""
-    return num(F.substring(c(reference), 4, 4))
+    return f"try_cast(substring({q(reference)}, 4, 4) AS DOUBLE)"
+
 
+def share_sql(weighted: str, total: str, reference: str = "reference") -> str:
+    y = ref_year_sql(reference)
+    return (f"CASE WHEN {y} IS NULL OR {y} < {L.SHARE_FIRST_YEAR} THEN CAST(NULL AS DOUBLE) "
+            f"ELSE round(try_divide({weighted}, {total}), 3) END")
 
-def share(weighted: ColumnOrName, total: ColumnOrName, reference: ColumnOrName = "reference") -> Column:
+
+def share(weighted: str, total: str, reference: str = "reference") -> Column:
     """Weighted share, 3 decimals; NULL before the first year shares were recorded."""
-    return r_ifelse(ref_year(reference) < L.SHARE_FIRST_YEAR, F.lit(None).cast("double"),
-                    F.round(F.try_divide(c(weighted), c(total)), 3))
+    return F.expr(share_sql(q(weighted), q(total), reference))
+
+
+def percent_sql(cover: str, share_expr: str, reference: str = "reference") -> str:
+    return (f"CASE WHEN {ref_year_sql(reference)} >= {L.SHARE_FIRST_YEAR} "
+            f"THEN {cover} * {share_expr} ELSE CAST(NULL AS DOUBLE) END")
 
 
-def percent(cover: ColumnOrName, share_col: ColumnOrName, reference: ColumnOrName = "reference") -> Column:
-    return r_ifelse(ref_year(reference) >= L.SHARE_FIRST_YEAR, c(cover) * c(share_col),
-                    F.lit(None).cast("double"))
+def percent(cover: str, share_col: str, reference: str = "reference") -> Column:
+    return F.expr(percent_sql(q(cover), q(share_col), reference))
 
 
 def share_aggs(valid: Column | None, ratio: ColumnOrName, ovr_wt: ColumnOrName,
@@ -142,22 +170,17 @@ def shore_sum_aggs(valid: Column | None, cat: ColumnOrName, ratio: ColumnOrName)
     return out
 
 
-def cap(x: ColumnOrName) -> Column:
-    x = c(x)
-    return r_ifelse(x > L.SHORE_CAP, F.lit(L.SHORE_CAP), x)
+def cap(x: str) -> Column:
+    v = q(x)
+    return F.expr(f"CASE WHEN {v} IS NULL THEN NULL WHEN {v} > {L.SHORE_CAP}D THEN {L.SHORE_CAP}D ELSE {v} END")
 
 
-def shore_label(Man="Man", Eme="Eme", Str="Str", Ter="Ter") -> Column:
+def shore_label(Man: str = "Man", Eme: str = "Eme", Str: str = "Str", Ter: str = "Ter") -> Column:
     """16-way shore label from category presence."""
-    cols = [c(Man), c(Eme), c(Str), c(Ter)]
-    expr = None
-    for pattern, label in SHORE_LABELS:
-        cond = None
-        for col, v in zip(cols, pattern):
-            t = (col > 0) if v else (col == 0)
-            cond = t if cond is None else cond & t
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(None).cast("string"))
+    cols = [q(Man), q(Eme), q(Str), q(Ter)]
+    branches = [(" AND ".join(f"{col} > 0" if v else f"{col} = 0" for col, v in zip(cols, pattern)),
+                 f"'{label}'") for pattern, label in SHORE_LABELS]
+    return case_expr(branches, "CAST(NULL AS STRING)")
 
 
 def shore_labelled(wide: DataFrame, fld: DataFrame) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions import lookups as L
-from estuary.functions.rsem import (ColumnOrName, c, first_of_group, in_set, not_in_set, num,
-                                    r_ifelse)
+from estuary.functions.rsem import (ColumnOrName, c, case_expr, first_of_group, in_set, not_in_set,
+                                    num, q, r_ifelse, sql_lit)
 from estuary.operators.codes import VEG_FIELD, codes_for
 from estuary.operators.physical import restrict
 
@@ -18,38 +18,51 @@ VEG_PRESENT = ["SAV", "Alg", "TH", "HA", "RU"]
 DOMINANT_MIN_RATIO = 5
 
 
+def _names(xs) -> str:
+    return ", ".join(sql_lit(x) for x in xs)
+
+
 def veg_cover(fld: DataFrame) -> DataFrame:
     """V1: (reference, bottomvegcover) as a number, the 101 code counted as 1."""
     return fld.select("reference", cover_for_weights("bottomvegcover").alias("bottomvegcover"))
 
 
-def cover_for_weights(x: ColumnOrName) -> Column:
-    v = num(x)
-    return r_ifelse(v == L.COVER_FULL_CODE, F.lit(1.0), v)
+def cover_for_weights(x: str) -> Column:
+    v = f"try_cast({q(x)} AS DOUBLE)"
+    return F.expr(f"CASE WHEN {v} = {L.COVER_FULL_CODE} THEN 1.0D ELSE {v} END")
+
 
+def veg_valid_sql(code: str) -> str:
+    return f"({code} IS NOT NULL AND {code} NOT IN ({_names(L.VEG_DROP)}))"
 
-def veg_valid(code: ColumnOrName) -> Column:
-    code = c(code)
-    return code.isNotNull() & not_in_set(code, L.VEG_DROP)
 
+def veg_valid(code: str) -> Column:
+    return F.expr(veg_valid_sql(q(code)))
 
-def veg_code(code: ColumnOrName) -> Column:
+
+def veg_code_sql(code: str) -> str:
     """Unknown vegetation (UN) is recorded as none (NO)."""
-    code = c(code)
-    return F.when(code == L.VEG_UNKNOWN, F.lit(L.VEG_NONE)).otherwise(code)
+    return f"CASE WHEN {code} = {sql_lit(L.VEG_UNKNOWN)} THEN {sql_lit(L.VEG_NONE)} ELSE {code} END"
+
 
+def veg_code(code: str) -> Column:
+    return F.expr(veg_code_sql(q(code)))
 
-def veg_ratio(code: ColumnOrName, ratio: ColumnOrName) -> Column:
+
+def veg_ratio_sql(code: str, ratio: str) -> str:
     """No vegetation counts 10; a missing or zero ratio counts 0.1."""
-    code, ratio = c(code), c(ratio)
-    return (F.when(code == L.VEG_NONE, F.lit(10.0))
-             .when((code != L.VEG_NONE) & (ratio.isNull() | (ratio == 0)), F.lit(0.1))
-             .otherwise(ratio))
+    no = sql_lit(L.VEG_NONE)
+    return (f"CASE WHEN {code} = {no} THEN 10.0D "
+            f"WHEN {code} <> {no} AND ({ratio} IS NULL OR {ratio} = 0) THEN 0.1D ELSE {ratio} END")
+
+
+def veg_ratio(code: str, ratio: str) -> Column:
+    return F.expr(veg_ratio_sql(q(code), q(ratio)))
 
 
-def veg_keep(rid: ColumnOrName, code: ColumnOrName) -> Column:
+def veg_keep_sql(rid: str, code: str) -> str:
     """'No vegetation' is only kept on the first habitat record (3-valued, as R filters)."""
-    return ~((c(rid) >= 2) & (c(code) == L.VEG_NONE))
+    return f"NOT ({rid} >= 2 AND {code} = {sql_lit(L.VEG_NONE)})"
 
 
 def veg_rows(hab: DataFrame, keys: DataFrame | None = None) -> DataFrame:
@@ -58,13 +71,18 @@ def veg_rows(hab: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     df = df.where(veg_valid("bottomveg")).select(
         "reference", veg_code("bottomveg").alias("code"),
         num("habitat_record_id").alias("rid"), num("BottomVegRatio").alias("ratio"))
-    df = df.where(veg_keep("rid", "code"))
+    df = df.where(F.expr(veg_keep_sql("rid", "code")))
     return df.select("reference", "code", veg_ratio("code", "ratio").alias("BottomVegRatio"))
 
 
-def veg_cat(code: ColumnOrName, category: ColumnOrName) -> Column:
+def veg_cat_sql(code: str, category: str) -> str:
+    return (f"CASE WHEN {code} IN ({_names(L.VEG_SPECIES_CODES)}) THEN {code} "
+            f"ELSE substring({category}, 1, 3) END")
+
+
+def veg_cat(code: str, category: str) -> Column:
     """First three letters of the category; the three seagrass species keep their code."""
-    return F.when(in_set(code, L.VEG_SPECIES_CODES), c(code)).otherwise(F.substring(c(category), 1, 3))
+    return F.expr(veg_cat_sql(q(code), q(category)))
 
 
 def veg_categories(rows: DataFrame, codes: DataFrame) -> DataFrame:
@@ -111,52 +129,46 @@ def veg_sum_aggs(valid: Column | None, cat: ColumnOrName, ratio: ColumnOrName) -
     return out
 
 
-def presence_floor(x: ColumnOrName) -> Column:
+def presence_floor(x: str) -> Column:
     """V8: ratios in (0, 1) and the 101 code count as presence (1)."""
-    x = c(x)
-    return (F.when(x == 0, F.lit(0.0)).when((x < 1) & (x > 0), F.lit(1.0))
-             .when(x == L.COVER_FULL_CODE, F.lit(1.0)).otherwise(x))
+    v = q(x)
+    return F.expr(f"CASE WHEN {v} = 0 THEN 0.0D WHEN {v} < 1 AND {v} > 0 THEN 1.0D "
+                  f"WHEN {v} = {L.COVER_FULL_CODE} THEN 1.0D ELSE {v} END")
 
 
-def impute_cover(cover: ColumnOrName, present: list[ColumnOrName]) -> Column:
+def impute_cover(cover: str, present: list[str]) -> Column:
     """V9: a negative cover becomes 1 when any vegetation is present, 0 when none."""
-    cover = c(cover)
-    ps = [c(p) for p in present]
-    anyp = ps[0] > 0
-    for p in ps[1:]:
-        anyp = anyp | (p > 0)
-    nonep = ps[0] == 0
-    for p in ps[1:]:
-        nonep = nonep & (p == 0)
-    return (F.when((cover < 0) & anyp, F.lit(1.0))
-             .when((cover < 0) & nonep, F.lit(0.0)).otherwise(cover))
+    cv = q(cover)
+    anyp = " OR ".join(f"{q(p)} > 0" for p in present)
+    nonep = " AND ".join(f"{q(p)} = 0" for p in present)
+    return F.expr(f"CASE WHEN {cv} < 0 AND ({anyp}) THEN 1.0D "
+                  f"WHEN {cv} < 0 AND {nonep} THEN 0.0D ELSE {cv} END")
 
 
 def veg_class(SAV="SAV", Alg="Alg", Non="Non", TH="TH", HA="HA", RU="RU") -> Column:
     """Vegetation class of the haul (8 rules, first match wins)."""
-    sav, alg, non, th, ha, ru = (c(x) for x in (SAV, Alg, Non, TH, HA, RU))
-    seagrass = (sav > 0) | (th > 0) | (ha > 0) | (ru > 0)
-    no_seagrass = (sav == 0) & (th == 0) & (ha == 0) & (ru == 0)
-    return (F.when(seagrass & (alg == 0) & (non == 0), F.lit("SAV"))
-             .when(no_seagrass & (alg > 0) & (non == 0), F.lit("Alg"))
-             .when(no_seagrass & (alg == 0) & (non > 0), F.lit("Non"))
-             .when(no_seagrass & (alg == 0) & (non == 0), F.lit("Non"))
-             .when(seagrass & (alg > 0) & (non == 0), F.lit("SAVAlg"))
-             .when(seagrass & (alg == 0) & (non > 0), F.lit("SAVNon"))
-             .when(seagrass & (alg > 0) & (non > 0), F.lit("SAVAlgNon"))
-             .when(((sav == 0) | (th == 0) | (ha == 0) | (ru == 0)) & (alg > 0) & (non > 0),
-                   F.lit("AlgNon"))
-             .otherwise(F.lit(None).cast("string")))
-
-
-def clean_dominant(dom: ColumnOrName, bveg: ColumnOrName) -> Column:
+    sav, alg, non, th, ha, ru = (q(x) for x in (SAV, Alg, Non, TH, HA, RU))
+    seagrass = f"({sav} > 0 OR {th} > 0 OR {ha} > 0 OR {ru} > 0)"
+    no_seagrass = f"{sav} = 0 AND {th} = 0 AND {ha} = 0 AND {ru} = 0"
+    return case_expr([
+        (f"{seagrass} AND {alg} = 0 AND {non} = 0", "'SAV'"),
+        (f"{no_seagrass} AND {alg} > 0 AND {non} = 0", "'Alg'"),
+        (f"{no_seagrass} AND {alg} = 0 AND {non} > 0", "'Non'"),
+        (f"{no_seagrass} AND {alg} = 0 AND {non} = 0", "'Non'"),
+        (f"{seagrass} AND {alg} > 0 AND {non} = 0", "'SAVAlg'"),
+        (f"{seagrass} AND {alg} = 0 AND {non} > 0", "'SAVNon'"),
+        (f"{seagrass} AND {alg} > 0 AND {non} > 0", "'SAVAlgNon'"),
+        (f"({sav} = 0 OR {th} = 0 OR {ha} = 0 OR {ru} = 0) AND {alg} > 0 AND {non} > 0", "'AlgNon'"),
+    ], "CAST(NULL AS STRING)")
+
+
+def clean_dominant(dom: str, bveg: str) -> Column:
     """V13: "Mixed" takes the class; algae, Halophila and mixed seagrass names are pooled."""
-    dom = c(dom)
-    return (F.when(dom == L.MIXED, c(bveg))
-             .when(in_set(dom, L.ALGAE_NAMES), F.lit("Algae"))
-             .when(in_set(dom, L.HALOPHILA_NAMES), F.lit("Halophila spp."))
-             .when(in_set(dom, L.SEAGRASS_NAMES), F.lit("SAV"))
-             .otherwise(dom))
+    d = q(dom)
+    return F.expr(f"CASE WHEN {d} = {sql_lit(L.MIXED)} THEN {q(bveg)} "
+                  f"WHEN {d} IN ({_names(L.ALGAE_NAMES)}) THEN 'Algae' "
+                  f"WHEN {d} IN ({_names(L.HALOPHILA_NAMES)}) THEN 'Halophila spp.' "
+                  f"WHEN {d} IN ({_names(L.SEAGRASS_NAMES)}) THEN 'SAV' ELSE {d} END")
 
 
 # The finishing stages, applied in order: each stage reads the previous
@@ -171,7 +183,7 @@ def stage_impute(df: DataFrame, cover: str = "bottomvegcover") -> DataFrame:
 
 
 def stage_weight(df: DataFrame, cover: str = "bottomvegcover") -> DataFrame:
-    return df.withColumns({k: F.col(k) / 10.0 * F.col(cover) for k in VEG_CATS})
+    return df.withColumns({k: F.expr(f"{q(k)} / 10.0D * {q(cover)}") for k in VEG_CATS})
 
 
 def stage_class(df: DataFrame) -> DataFrame:
@@ -180,7 +192,8 @@ def stage_class(df: DataFrame) -> DataFrame:
 
 def stage_final(df: DataFrame) -> DataFrame:
     return df.withColumns({
-        "Non": r_ifelse(F.col("bveg") == "Non", F.lit(0.0), F.col("Non")),
+        # ifelse(bveg == "Non", 0, Non): a NULL class gives NULL
+        "Non": F.expr("CASE WHEN bveg IS NULL THEN NULL WHEN bveg = 'Non' THEN 0.0D ELSE Non END"),
         "DominantVeg": clean_dominant("DominantVeg", "bveg"),
     })
 

@@ -45,13 +45,25 @@ def combined_full(tables: dict[str, DataFrame], cfg: SurveyConfig) -> tuple[Data
     return df, {"fld": fld, "keys": keys, "rows": rows, "totals": totals}
 
 
+def com_pairs(fld: DataFrame, totals: DataFrame) -> DataFrame:
+    """The (bio_reference, species) pairs of the combined table.
+
+    The combined table is ``fld`` left-joined with per-haul habitat and
+    chemistry (which can only repeat rows) and the catch totals (which add
+    the pairs), so its pair set equals that of ``fld`` left-joined with the
+    totals alone.  The length filter semi-joins against this, which keeps
+    habitat and chemistry out of the length plan."""
+    return combine.left_chain(fld.select("reference"), [totals]).select("bio_reference", "species")
+
+
 def run_analysis(tables: dict[str, DataFrame], cfg: SurveyConfig) -> Analysis:
     """The combined table and the length table."""
     full, parts = combined_full(tables, cfg)
     com = combine.keep_export(full)
     lens = lengths.length_pipeline(parts["rows"], tables["lengths"])
+    pairs = com_pairs(parts["fld"], parts["totals"])
     return Analysis(fld=parts["fld"], keys=parts["keys"], rows=parts["rows"],
-                    totals=parts["totals"], com=com, len=lengths.lengths_in(lens, com))
+                    totals=parts["totals"], com=com, len=lengths.lengths_in(lens, pairs))
 
 
 def checked(com: DataFrame, species_codes: DataFrame) -> DataFrame:

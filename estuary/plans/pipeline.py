@@ -107,20 +107,6 @@ def habitat_summary(tables: dict[str, DataFrame], cfg: SurveyConfig) -> DataFram
                                     physical.retained_keys(fld))
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
-
-    Only when it is unset (local tests) a folder under the working dir is used."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        import os
-        d = os.path.abspath("spark-checkpoints")
-        spark.sparkContext.setCheckpointDir(d)
-    return d.rstrip("/")
-
-
 def write_outputs(spark: SparkSession, tables: dict[str, DataFrame], cfg: SurveyConfig,
                   out_dir: str, fmt: str = "csv") -> dict[str, str]:
     """Run Z1 + Z2 and write every output table.

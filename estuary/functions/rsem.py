@@ -131,7 +131,7 @@ def keep_existing(df: DataFrame, names: Iterable[str]) -> DataFrame:
         if n in present and n.lower() not in seen:
             out.append(n)
             seen.add(n.lower())
-    return df.select(*[F.col(f"`{n}`") for n in out])
+    return df.selectExpr(*[q(n) for n in out])
 
 
 def drop_clashing(right: DataFrame, left: DataFrame, keys: Iterable[str]) -> DataFrame:
@@ -139,8 +139,9 @@ def drop_clashing(right: DataFrame, left: DataFrame, keys: Iterable[str]) -> Dat
     so a join never produces two columns Spark cannot tell apart."""
     keys_l = {k.lower() for k in keys}
     left_l = {x.lower() for x in left.columns}
-    keep = [x for x in right.columns if x.lower() in keys_l or x.lower() not in left_l]
-    return right.select(*[F.col(f"`{x}`") for x in keep])
+    cols = right.columns
+    keep = [x for x in cols if x.lower() in keys_l or x.lower() not in left_l]
+    return right if len(keep) == len(cols) else right.selectExpr(*[q(x) for x in keep])
 
 
 def null_safe_on(left: DataFrame, right: DataFrame, keys: Iterable[str]) -> Column:
@@ -154,10 +155,6 @@ def null_safe_on(left: DataFrame, right: DataFrame, keys: Iterable[str]) -> Colu
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every DOUBLE column (used only where results are compared across engines)."""
-    cols = []
-    for f in df.schema.fields:
-        if f.dataType.typeName() == "double":
-            cols.append(F.round(F.col(f"`{f.name}`"), digits).alias(f.name))
-        else:
-            cols.append(F.col(f"`{f.name}`"))
-    return df.select(*cols)
+    cols = [f"round({q(f.name)}, {digits}) AS {q(f.name)}" if f.dataType.typeName() == "double"
+            else q(f.name) for f in df.schema.fields]
+    return df.selectExpr(*cols)

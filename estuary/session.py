@@ -15,6 +15,9 @@ SURVEY_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # AQE sizes post-shuffle partitions to ~128 MB from a generous initial
+    # count, so one setting works from test data to 100 TB inputs
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -26,9 +29,10 @@ def survey_session(app: str = "estuary", master: str | None = None,
                    conf: dict[str, str] | None = None) -> SparkSession:
     """Get or create a session with the survey defaults.
 
-    On a cluster leave ``master`` and ``shuffle_partitions`` unset (the
-    cluster's settings apply; size partitions to ~128-256 MB of shuffle
-    data each).  Local tests pass ``master="local[8]"``.
+    On a cluster leave ``master`` unset and set ``shuffle_partitions`` to
+    roughly (largest shuffle in bytes) / 128 MB -- AQE coalesces the small
+    ones, and sort/aggregate buffers spill to disk beyond executor memory.
+    Local tests pass ``master="local[8]"``.
     """
     b = SparkSession.builder.appName(app)
     if master:

@@ -33,20 +33,31 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.load(path)
 
 
-def load_tables(spark: SparkSession, root: str, fmt: str = "parquet",
+def load_tables(spark: SparkSession, root: str | list[str], fmt: str = "parquet",
                 names: Iterable[str] | None = None,
                 files: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """Load the named survey tables from ``root/<stem>.<fmt>``.
 
-    ``files`` overrides the file stem per logical name.  Parquet carries its
-    own schema; CSV is read with the declared ``StructType``.
+    ``root`` may be a list (e.g. previous-year and current-year folders):
+    each table is then one scan over all of them -- Spark lists the files
+    of every folder and splits them into tasks together; parquet merges
+    schemas, so a column missing in older years reads as NULL.  ``files``
+    overrides the file stem per logical name.  Parquet carries its own
+    schema; CSV is read with the declared ``StructType``.
     """
+    roots = [root] if isinstance(root, str) else list(root)
     files = files or {}
     out = {}
     for name in (names or schemas.TABLES):
         stem, schema = schemas.TABLES[name]
         stem = files.get(name, stem)
-        out[name] = read_table(spark, f"{root.rstrip('/')}/{stem}.{fmt}", schema, fmt)
+        paths = [f"{r.rstrip('/')}/{stem}.{fmt}" for r in roots]
+        if len(paths) == 1:
+            out[name] = read_table(spark, paths[0], schema, fmt)
+        elif fmt == "parquet":
+            out[name] = spark.read.option("mergeSchema", "true").parquet(*paths)
+        else:
+            out[name] = union_all(read_table(spark, p, schema, fmt) for p in paths)
     return out
 
 

@@ -92,3 +92,14 @@ def test_append_years_fills_missing_columns(spark):
 
 def test_output_name():
     assert io.output_name(DEFAULT, "c") == "tbm_c.csv"
+
+
+def test_load_tables_over_several_year_folders(spark, tmpdir_path):
+    old = frame(spark, schemas.HAULS, [haul("TBM1997A001")]).drop("TotalShoreCover")
+    new = frame(spark, schemas.HAULS, [haul("TBM2005A002"), haul("TBM2005A003")])
+    old.write.parquet(f"{tmpdir_path}/prev/physical_master.parquet")
+    new.write.parquet(f"{tmpdir_path}/cur/physical_master.parquet")
+    t = io.load_tables(spark, [f"{tmpdir_path}/prev", f"{tmpdir_path}/cur"], names=["hauls"])
+    h = t["hauls"]
+    assert h.count() == 3
+    assert h.where(F.col("TotalShoreCover").isNull()).count() == 1

@@ -13,6 +13,30 @@ MAX_BROADCAST_ROWS = 200_000
 _checked: dict[tuple[int, int], bool] = {}
 
 
+def _at_most(df: DataFrame, max_rows: int) -> bool:
+    key = (df.semanticHash(), max_rows)
+    ok = _checked.get(key)
+    if ok is None:
+        ok = df.limit(max_rows + 1).count() <= max_rows
+        if len(_checked) > 1024:
+            _checked.clear()
+        _checked[key] = ok
+    return ok
+
+
+def broadcast_if_bounded(df: DataFrame, bound: DataFrame,
+                         max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` when ``bound`` -- a table known to have at least as
+    many rows as ``df`` -- has at most ``max_rows`` rows.
+
+    Used for aggregates keyed by a low-cardinality attribute: the per-zone
+    table has one row per distinct zone of the kept hauls, so counting the
+    distinct zones on the (small, column-pruned) haul table proves its size
+    without computing the aggregate twice.  Beyond the bound the join is
+    left to the planner (shuffled, AQE skew handling)."""
+    return F.broadcast(df) if _at_most(bound, max_rows) else df
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
 

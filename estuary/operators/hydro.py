@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from estuary.functions.joins import broadcast_if_bounded
 from estuary.operators.physical import restrict
 
 SURFACE_DEPTH = 0.2
@@ -51,14 +52,17 @@ def zone_salinity_sd(df: DataFrame) -> DataFrame:
 def hydro_summary(hyd: DataFrame, fld: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """H1-H6: per-haul chemistry with the zone's salinity SD.
 
-    The SD table has one row per zone.  It is joined back null-safely; at
-    run time AQE sees its size (a few rows) and broadcasts it, so the
-    per-haul side keeps its ``reference`` partitioning for the combine step.
+    The SD table has one row per zone of the kept hauls.  That bound is
+    checked on the haul table (distinct zones), and the SD table is then
+    broadcast and joined back null-safely: the per-haul side is never
+    shuffled by zone, so a zone holding most hauls cannot skew a task, and
+    it keeps its ``reference`` partitioning for the combine step.
     """
     keys = keys if keys is not None else fld.select("reference")
     hyd = restrict(hyd, keys)
     hz = hydro_with_zone(hydro_mean(hyd), hydro_surface(hyd), fld)
-    sd = zone_salinity_sd(hz).withColumnRenamed("zone", "sd_zone")
+    sd = broadcast_if_bounded(zone_salinity_sd(hz).withColumnRenamed("zone", "sd_zone"),
+                              fld.select("zone").distinct())
     out = hz.join(sd, hz["zone"].eqNullSafe(sd["sd_zone"]), "left")
     return out.select("reference", "temperature", "salinity", "dissolvedO2",
                       "temp_surf", "sal_surf", "do2_surf", "sal_sd")

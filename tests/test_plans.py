@@ -47,3 +47,16 @@ def test_aggregates_are_partial_before_shuffle(spark, tables):
     plan = executed(pipeline.run_analysis(tables, DEFAULT).com)
     # every exchange on the aggregation side is fed by a partial aggregate
     assert plan.count("partial_") >= 3
+
+
+def test_zone_sd_broadcast_with_proven_bound(spark, tables):
+    from estuary.operators import hydro, physical
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fld = physical.physical_master(tables["hauls"], ALL_HAULS)
+        plan = executed(hydro.hydro_summary(tables["hydro"], fld))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = plan.split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin [coalesce(zone" in plan
+    assert "hashpartitioning(coalesce(zone" not in plan     # hauls never shuffled by zone

@@ -21,9 +21,9 @@ def species_lookup(species_codes: DataFrame) -> DataFrame:
 
 def with_names(com: DataFrame, spp: DataFrame) -> DataFrame:
     """K2: attach scientific names (null-safe on species; a code with two
-    names fans out, as a left join does).  The name table is bounded by the
-    species code list; the planner broadcasts it through its size check."""
-    s = spp.withColumnRenamed("species", "_sp")
+    names fans out, as a left join does).  The name table is the species
+    code list; it is broadcast after a bounded row-count check."""
+    s = bounded_broadcast(spp.withColumnRenamed("species", "_sp"))
     return com.join(s, com["species"].eqNullSafe(s["_sp"]), "left").drop("_sp")
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estuary.functions.rsem import num, q
+from estuary.functions.rsem import q
 from estuary.operators import bottom as B
 from estuary.operators import shore as S
 from estuary.operators import vegetation as V

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from estuary.config import SurveyConfig
 from estuary.functions import lookups as L
-from estuary.functions.rsem import ColumnOrName, c, case_expr, in_set, paste0, q
+from estuary.functions.rsem import ColumnOrName, case_expr, in_set, paste0, q
 
 
 def _both_cases(code: str) -> list[str]:

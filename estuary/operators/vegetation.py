@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions import lookups as L
-from estuary.functions.rsem import (ColumnOrName, c, case_expr, first_of_group, in_set, not_in_set,
-                                    num, q, r_ifelse, sql_lit)
+from estuary.functions.rsem import ColumnOrName, c, case_expr, first_of_group, num, q, sql_lit
 from estuary.operators.codes import VEG_FIELD, codes_for
 from estuary.operators.physical import restrict
 

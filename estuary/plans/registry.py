@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from estuary.config import ALL_HAULS, DEFAULT, SurveyConfig
 from estuary.functions import lookups as L
 from estuary.functions.rsem import round_doubles
-from estuary.operators import (bottom, catch, checks, combine, enrich, habitat, hydro, lengths,
-                               physical, shore, vegetation)
+from estuary.operators import (bottom, catch, checks, combine, enrich, hydro, lengths, physical,
+                               shore, vegetation)
 from estuary.plans import pipeline
 from estuary.sources import fixtures, io
 

@@ -12,10 +12,6 @@ COM_D = ["number", "startdepth", "bottomvegcover", "effort", "slope", *HYD, *SHO
 ENR_D = [*COM_D, "TBNI_Score", "acres", "mngacre"]
 
 
-def _r(doubles, expr_cols=None):
-    return doubles
-
-
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     A, DF = "all", "default"

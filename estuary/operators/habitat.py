@@ -116,6 +116,8 @@ def habitat_columns(df: DataFrame, veg_cover_raw: str = "bottomvegcover",
 def habitat_combined(hab: DataFrame, codes: DataFrame, fld: DataFrame,
                      keys: DataFrame | None = None) -> DataFrame:
     """One row per haul with any usable bottom, vegetation or shore row."""
+    # restrict the rows first: the component filter below would sit between
+    # a later semi join and the aggregate and keep Catalyst from moving it
     agg = habitat_aggregate(classified_rows(hab, codes, keys))
     agg = agg.where((F.col("_has_bottom") == 1) | (F.col("_has_veg") == 1) | (F.col("_has_shore") == 1))
     covers = fld.select("reference", F.col("bottomvegcover").alias("_raw_vc"),

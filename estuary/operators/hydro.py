@@ -59,8 +59,12 @@ def hydro_summary(hyd: DataFrame, fld: DataFrame, keys: DataFrame | None = None)
     it keeps its ``reference`` partitioning for the combine step.
     """
     keys = keys if keys is not None else fld.select("reference")
-    hyd = restrict(hyd, keys)
-    hz = hydro_with_zone(hydro_mean(hyd), hydro_surface(hyd), fld)
+    # aggregate, then keep the selected hauls: Catalyst moves the semi join
+    # below the aggregate when the key set can be broadcast; otherwise the
+    # aggregate combines partial rows map-side first (skew-safe) and the
+    # semi join runs on one row per haul
+    mean = restrict(hydro_mean(hyd), keys)
+    hz = hydro_with_zone(mean, hydro_surface(restrict(hyd, keys)), fld)
     sd = broadcast_if_bounded(zone_salinity_sd(hz).withColumnRenamed("zone", "sd_zone"),
                               fld.select("zone").distinct())
     out = hz.join(sd, hz["zone"].eqNullSafe(sd["sd_zone"]), "left")

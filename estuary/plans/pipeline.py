@@ -34,10 +34,14 @@ def combined_full(tables: dict[str, DataFrame], cfg: SurveyConfig) -> tuple[Data
     keys = physical.retained_keys(fld)
     hyd = hydro.hydro_summary(tables["hydro"], fld, keys)
     rows = catch.catch_rows(tables["counts"], keys)
-    totals = catch.catch_totals(rows)
+    # per-haul aggregates are computed, then restricted to the kept hauls:
+    # Catalyst pushes the semi join below the aggregate when the key set can
+    # be broadcast, and otherwise aggregates (partially, map-side) first
+    totals = physical.restrict(catch.catch_totals(catch.catch_rows(tables["counts"])), keys)
     # habitat aggregates are joined straight onto the hauls; the R9 columns
     # are derived in place from the haul's own cover texts (saves a join)
-    hab_agg = habitat.habitat_aggregate(habitat.classified_rows(tables["habitat"], tables["codes"], keys))
+    hab_agg = physical.restrict(
+        habitat.habitat_aggregate(habitat.classified_rows(tables["habitat"], tables["codes"])), keys)
     df = combine.left_chain(fld, [hab_agg])
     df = habitat.habitat_columns(df)
     df = combine.combine(df, None, hyd, totals)
@@ -93,8 +97,8 @@ def run_enrichment(fld2: DataFrame, index: DataFrame, seagrass: DataFrame,
     joined = enrich.enrich(fld2, index, seagrass)
     return {
         "joined": joined,
-        "tbni_check": enrich.missing_index(joined),
-        "sg_check": enrich.missing_seagrass(joined),
+        "index_check": enrich.missing_index(joined),
+        "seagrass_check": enrich.missing_seagrass(joined),
         "export": enrich.enrichment_export(enrich.complete_cases(joined), include_enrichment),
     }
 

@@ -60,3 +60,14 @@ def test_zone_sd_broadcast_with_proven_bound(spark, tables):
     plan = plan.split("== Initial Plan ==")[0]
     assert "BroadcastHashJoin [coalesce(zone" in plan
     assert "hashpartitioning(coalesce(zone" not in plan     # hauls never shuffled by zone
+
+
+def test_key_restriction_moves_below_aggregates_when_small(spark, tables):
+    """Per-haul aggregates are written aggregate-then-restrict; with a
+    broadcastable key set Catalyst filters the rows before aggregating,
+    otherwise it pre-aggregates before any shuffle."""
+    df = pipeline.run_analysis(tables, DEFAULT).com
+    lines = [l.strip(" :+-") for l in df._jdf.queryExecution().optimizedPlan().toString().split("\n")]
+    pushed = sum(1 for a, b in zip(lines, lines[1:])
+                 if a.startswith("Aggregate [") and b.startswith("Join LeftSemi"))
+    assert pushed >= 3        # habitat, hydrolab means, catch totals

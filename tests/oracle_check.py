@@ -2,7 +2,8 @@
 
 Usage: python tests/oracle_check.py [sf_dir] [name ...]
 Compares row count, column names (sorted), and an order-insensitive hash of
-the values (doubles rounded to 6 decimals).  Prints one line per query.
+the exact values (both sides already round computed doubles to 6 decimals
+in the query itself).  Prints one line per query.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6) + 0.0
+        return v + 0.0          # -0.0 and 0.0 hash alike
     if hasattr(v, "item"):
         return norm(v.item())
     return v
@@ -55,6 +56,7 @@ def main(argv):
     import __spark_entry__ as entry
     spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", "8")
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     qs, osql = entry.queries(), entry.oracle_sql()

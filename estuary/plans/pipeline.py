@@ -139,4 +139,8 @@ def write_outputs(spark: SparkSession, tables: dict[str, DataFrame], cfg: Survey
         if name.endswith("top50"):
             continue
         write(df, name)
+    if "index" in tables and "seagrass" in tables:
+        enr = run_enrichment(com, tables["index"], tables["seagrass"], cfg.include_enrichment)
+        for name in ("index_check", "seagrass_check", "export"):
+            write(enr[name], "enriched_export" if name == "export" else name)
     return paths

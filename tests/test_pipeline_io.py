@@ -15,7 +15,8 @@ def test_write_outputs_csv(spark, tmpdir_path):
     tables = fixtures.survey_tables(spark, SF)
     paths = pipeline.write_outputs(spark, tables, DEFAULT, tmpdir_path, fmt="csv")
     assert set(paths) == {"tbm_c.csv", "tbm_l.csv", "check_combined_data", "missing",
-                          "samples_summary", "fish_by_gear_month", "fish_by_project"}
+                          "samples_summary", "fish_by_gear_month", "fish_by_project",
+                          "index_check", "seagrass_check", "enriched_export"}
     com = io.read_survey_csv(spark, paths["tbm_c.csv"])
     lens = io.read_survey_csv(spark, paths["tbm_l.csv"])
     assert com.count() == 52 and lens.count() == 103          # FIXTURES.md, default sf0.001
@@ -30,3 +31,17 @@ def test_write_outputs_parquet_is_idempotent(spark, tmpdir_path):
     assert p1 == p2
     assert spark.read.parquet(p1["tbm_c.parquet"]).count() == 52
     assert spark.read.parquet(p1["tbm_l.parquet"]).count() == 103
+
+
+def test_command_line_run(spark, tmpdir_path):
+    from estuary import __main__ as cli
+    from estuary.sources import schemas
+    src = f"{tmpdir_path}/tables"
+    for name, df in fixtures.survey_tables(spark, SF).items():
+        df.write.parquet(f"{src}/{schemas.TABLES[name][0]}.parquet")
+    paths = cli.main(["--tables", src, "--out", f"{tmpdir_path}/out", "--format", "parquet"])
+    assert spark.read.parquet(paths["tbm_c.parquet"]).count() == 52
+    # enrichment outputs (index and seagrass tables present); FIXTURES.md counts are for sf0.01
+    assert {"index_check", "seagrass_check", "enriched_export"} <= set(paths)
+    exp = spark.read.parquet(paths["enriched_export"])
+    assert "sgyear" in exp.columns and exp.where(F.col("sgyear").isNull()).count() == 0

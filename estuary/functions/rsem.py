@@ -99,11 +99,6 @@ def asc_nulls_last(x: ColumnOrName) -> list[Column]:
     return [x.isNull(), x]
 
 
-def desc_nulls_last(x: ColumnOrName) -> list[Column]:
-    x = c(x)
-    return [x.isNull(), -x]
-
-
 def resolve(df: DataFrame, *names: str) -> str:
     """Return the first existing column among ``names`` (exact case first,
     then case-insensitive)."""
@@ -144,15 +139,6 @@ def drop_clashing(right: DataFrame, left: DataFrame, keys: Iterable[str]) -> Dat
     return right if len(keep) == len(cols) else right.selectExpr(*[q(x) for x in keep])
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, keys: Iterable[str]) -> Column:
-    """Join condition where NULL keys match each other (dplyr joins do)."""
-    cond = None
-    for k in keys:
-        term = left[k].eqNullSafe(right[k])
-        cond = term if cond is None else cond & term
-    return cond
-
-
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every DOUBLE column (used only where results are compared across engines)."""
     cols = [f"round({q(f.name)}, {digits}) AS {q(f.name)}" if f.dataType.typeName() == "double"

@@ -55,10 +55,6 @@ def shore_ratio_sql(code: str, ratio: str) -> str:
             f"THEN 0.1D ELSE {ratio} END")
 
 
-def shore_ratio(code: str, ratio: str) -> Column:
-    return F.expr(shore_ratio_sql(q(code), q(ratio)))
-
-
 def yes_no_sql(x: str) -> str:
     """'1'..'10' or 'YES' -> 'YES', anything else (NULL included) -> 'NO'."""
     return f"CASE WHEN {x} IN ({_names(L.YES_VALUES)}) THEN 'YES' ELSE 'NO' END"

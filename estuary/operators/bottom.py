@@ -84,14 +84,13 @@ def bottom_first(cats: DataFrame) -> DataFrame:
                 .withColumn("k", F.lit(1)))
 
 
-def bottom_flag_aggs(valid: Column | None = None, cat: ColumnOrName = "bottom_cat") -> list[Column]:
-    """Per-haul presence flags as conditional aggregates (one pass, no pivot job)."""
-    key = bottom_flag_key(cat)
-    out = []
-    for f in BOTTOM_FLAGS:
-        hit = key == f if valid is None else (valid & (key == f))
-        out.append(F.max(F.when(hit, 1).otherwise(0)).alias(f))
-    return out
+def bottom_flag_aggs(valid: str | None = None, cat: str = "bottom_cat") -> list[Column]:
+    """Per-haul presence flags as conditional aggregates (one pass, no pivot job).
+
+    ``valid`` names a boolean column restricting the rows that count."""
+    guard = f"{q(valid)} AND " if valid else ""
+    return [F.expr(f"max(CASE WHEN {guard}lower({q(cat)}) = '{f}' THEN 1 ELSE 0 END)").alias(f)
+            for f in BOTTOM_FLAGS]
 
 
 def bottom_pivot(cats: DataFrame) -> DataFrame:

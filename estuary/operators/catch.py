@@ -6,52 +6,62 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions import lookups as L
-from estuary.functions.rsem import ColumnOrName, c, in_set, num_text, paste0, r_ifelse, resolve
+from estuary.functions.rsem import ColumnOrName, c, q, resolve, sql_lit
 from estuary.operators.physical import restrict
 
 
-def bio_reference(reference: ColumnOrName, sc: ColumnOrName, splitlevel: ColumnOrName) -> Column:
+def _num_text_sql(x: str) -> str:
+    """How R prints a number inside ``paste0`` (2 -> "2", 2.5 -> "2.5")."""
+    return (f"CASE WHEN {x} = floor({x}) AND abs({x}) < 1e15 "
+            f"THEN CAST(CAST({x} AS BIGINT) AS STRING) ELSE CAST({x} AS STRING) END")
+
+
+def bio_reference_sql(reference: str, sc: str, splitlevel: str) -> str:
+    parts = [q(reference), q(sc), _num_text_sql(q(splitlevel))]
+    return "upper(concat(" + ", ".join(f"coalesce(CAST({p} AS STRING), 'NA')" for p in parts) + "))"
+
+
+def bio_reference(reference: str, sc: str, splitlevel: str) -> Column:
     """sample key = upper(reference + SC + split level); NULL parts print "NA"."""
-    return F.upper(paste0(reference, sc, num_text(splitlevel)))
+    return F.expr(bio_reference_sql(reference, sc, splitlevel))
 
 
-def clean_code(nodccode: ColumnOrName) -> Column:
+def clean_code(nodccode: str) -> Column:
     """Taxon code with every blank removed."""
-    return F.replace(c(nodccode), F.lit(" "), F.lit(""))
+    return F.expr(f"replace({q(nodccode)}, ' ', '')")
 
 
-def taxon_levels(code: ColumnOrName) -> dict[str, Column]:
+# Taxonomic levels as code prefix lengths.
+TAXON_PREFIX = {"species": 10, "genus": 8, "family": 6, "order": 4, "class": 2}
+
+
+def taxon_levels(code: str) -> dict[str, Column]:
     """taxonomic levels as code prefixes; subspecies only for codes over 10 chars."""
-    code = c(code)
-    return {
-        "subspecies": F.when(F.length(code) > 10, code),
-        "species": F.substring(code, 1, 10),
-        "genus": F.substring(code, 1, 8),
-        "family": F.substring(code, 1, 6),
-        "order": F.substring(code, 1, 4),
-        "class": F.substring(code, 1, 2),
-    }
-
-
-def expand_count(number: ColumnOrName, splittype: ColumnOrName, splitlevel: ColumnOrName,
-                 cells: ColumnOrName) -> Column:
+    cq = q(code)
+    out = {"subspecies": F.expr(f"CASE WHEN length({cq}) > 10 THEN {cq} END")}
+    out.update({k: F.expr(f"substring({cq}, 1, {n})") for k, n in TAXON_PREFIX.items()})
+    return out
+
+
+def expand_count(number: str, splittype: str, splitlevel: str, cells: str) -> Column:
     """sub-sample expansion Number * type^level / cells (split type 2 -> one cell).
 
-    A zero cell count gives NULL rather than infinity."""
-    st = c(splittype)
-    cells = r_ifelse(st == 2, F.lit(1.0), c(cells))
-    expanded = F.try_divide(c(number) * F.pow(st, c(splitlevel)), cells)
-    return r_ifelse(st.isNotNull(), expanded, c(number)).cast("double")
+    A missing split type leaves the count as is; zero cells give NULL, not infinity."""
+    st = q(splittype)
+    cells_sql = f"CASE WHEN {st} IS NULL THEN NULL WHEN {st} = 2 THEN 1.0D ELSE {q(cells)} END"
+    return F.expr(f"CAST(CASE WHEN {st} IS NOT NULL "
+                  f"THEN try_divide({q(number)} * pow({st}, {q(splitlevel)}), {cells_sql}) "
+                  f"ELSE {q(number)} END AS DOUBLE)")
 
 
-def lump_genera(species: ColumnOrName, genus: ColumnOrName, bay: ColumnOrName) -> Column:
+def lump_genera(species: str, genus: str, bay: str) -> Column:
     """some genera are reported at genus level (code genus + "00")."""
-    genus, bay = c(genus), c(bay)
+    g, b = q(genus), q(bay)
     g_out, bay_out = L.LUMP_GENUS_OUTSIDE_BAY
-    lumped = F.concat(genus, F.lit("00"))
-    return (F.when(in_set(genus, L.LUMP_GENERA_ALWAYS), lumped)
-             .when((genus == g_out) & (bay != bay_out), lumped)
-             .otherwise(c(species)))
+    always = ", ".join(sql_lit(x) for x in L.LUMP_GENERA_ALWAYS)
+    return F.expr(f"CASE WHEN {g} IN ({always}) THEN concat({g}, '00') "
+                  f"WHEN {g} = {sql_lit(g_out)} AND {b} <> {sql_lit(bay_out)} THEN concat({g}, '00') "
+                  f"ELSE {q(species)} END")
 
 
 def catch_taxa(counts: DataFrame, keys: DataFrame | None = None) -> DataFrame:
@@ -59,7 +69,7 @@ def catch_taxa(counts: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     df = counts if keys is None else restrict(counts, keys)
     sl = resolve(df, "splitlevel", "Splitlevel")
     df = df.withColumns({
-        "bay": F.substring("reference", 1, 2),
+        "bay": F.expr("substring(reference, 1, 2)"),
         "bio_reference": bio_reference("reference", "SC", sl),
         "taxon_code": clean_code("NODCCODE"),
     })

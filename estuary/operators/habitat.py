@@ -32,7 +32,7 @@ VEG_COVER, SHORE_COVER = "_veg_cover", "_shore_cover"
 
 def _dict(codes: DataFrame, field: str, prefix: str) -> DataFrame:
     d = codes_for(codes, field)
-    return d.select(*[F.col(x).alias(prefix + x) for x in d.columns])
+    return d.selectExpr(*[f"{x} AS {prefix}{x}" for x in ("code", "description", "category")])
 
 
 def classified_rows(hab: DataFrame, codes: DataFrame, keys: DataFrame | None = None) -> DataFrame:
@@ -73,16 +73,15 @@ def classified_rows(hab: DataFrame, codes: DataFrame, keys: DataFrame | None = N
 
 def habitat_aggregate(rows: DataFrame) -> DataFrame:
     """All per-haul habitat aggregates in one ``groupBy(reference)``."""
-    bv, vv, sv = F.col("b_valid"), F.col("v_valid"), F.col("s_valid")
     return rows.groupBy("reference").agg(
-        F.max(bv.cast("int")).alias("_has_bottom"),
-        F.max(vv.cast("int")).alias("_has_veg"),
-        F.max(sv.cast("int")).alias("_has_shore"),
-        *B.bottom_flag_aggs(bv, "b_cat"),
-        *V.veg_sum_aggs(vv, "v_cat", "v_ratio"),
-        V.dominant_agg("v_ratio", "v_code", "v_desc", vv).alias("DominantVeg"),
-        *S.share_aggs(sv, "s_ratio", "s_ovr_wt", "s_ind_wt", prefix="_s_"),
-        *S.shore_sum_aggs(sv, "s_cat", "s_ratio"),
+        F.expr("max(CAST(b_valid AS INT))").alias("_has_bottom"),
+        F.expr("max(CAST(v_valid AS INT))").alias("_has_veg"),
+        F.expr("max(CAST(s_valid AS INT))").alias("_has_shore"),
+        *B.bottom_flag_aggs("b_valid", "b_cat"),
+        *V.veg_sum_aggs("v_valid", "v_cat", "v_ratio"),
+        V.dominant_agg("v_ratio", "v_code", "v_desc", "v_valid").alias("DominantVeg"),
+        *S.share_aggs("s_valid", "s_ratio", "s_ovr_wt", "s_ind_wt", prefix="_s_"),
+        *S.shore_sum_aggs("s_valid", "s_cat", "s_ratio"),
     )
 
 

@@ -7,42 +7,43 @@ from pyspark.sql import functions as F
 
 from estuary.config import SurveyConfig
 from estuary.functions import lookups as L
-from estuary.functions.rsem import ColumnOrName, case_expr, in_set, paste0, q
+from estuary.functions.rsem import ColumnOrName, case_expr, paste0, q, sql_lit
 
 
 def _both_cases(code: str) -> list[str]:
     return sorted({code, code.lower(), code.upper()})
 
 
+def _in(col: str, values) -> str:
+    return f"{q(col)} IN ({', '.join(sql_lit(v) for v in values)})"
+
+
 def selection_predicate(cfg: SurveyConfig) -> Column | None:
     """Bay, type, year, project and zone filters as one conjunction.
 
     Written as plain comparisons / IN lists on stored columns so Catalyst
     pushes every term into the parquet scan (``upper(bay) = ...`` would not
-    push; ``bay IN ('tb', 'TB')`` does).
+    push; ``bay IN ('tb', 'TB')`` does).  Project codes follow ``%in%``: a
+    missing code is simply not in the set.
     """
-    terms: list[Column] = []
+    terms: list[str] = []
     if cfg.bay is not None:
-        terms.append(F.col("bay").isin(_both_cases(cfg.bay)))
+        terms.append(_in("bay", _both_cases(cfg.bay)))
     if cfg.sampling_type is not None:
-        terms.append(F.col("type").isin(_both_cases(cfg.sampling_type)))
+        terms.append(_in("type", _both_cases(cfg.sampling_type)))
     if cfg.first_year is not None or cfg.last_year is not None:
         lo = cfg.first_year if cfg.first_year is not None else cfg.last_year
         hi = cfg.last_year if cfg.last_year is not None else cfg.first_year
-        terms.append(F.col("year").isin(list(range(lo, hi + 1))))
+        terms.append(_in("year", range(lo, hi + 1)))
     if cfg.project_set is not None:
         ps = cfg.project_set
-        terms.append(in_set("Project_1", ps) | in_set("Project_2", ps) | in_set("Project_3", ps))
+        terms.append("(" + " OR ".join(f"coalesce({_in(p, ps)}, false)"
+                                       for p in ("Project_1", "Project_2", "Project_3")) + ")")
     if cfg.zones is not None:
-        terms.append(F.col("zone").isin(list(cfg.zones)))
+        terms.append(_in("zone", cfg.zones))
     elif cfg.max_zone is not None:
-        terms.append(F.col("zone") <= F.lit(cfg.max_zone))
-    if not terms:
-        return None
-    out = terms[0]
-    for t in terms[1:]:
-        out = out & t
-    return out
+        terms.append(f"zone <= {sql_lit(cfg.max_zone)}")
+    return F.expr(" AND ".join(terms)) if terms else None
 
 
 def select_hauls(hauls: DataFrame, cfg: SurveyConfig) -> DataFrame:
@@ -112,7 +113,7 @@ def with_physical_vars(hauls: DataFrame, split_shore_stratum: bool = False) -> D
 def keep_gears(df: DataFrame, cfg: SurveyConfig) -> DataFrame:
     """Keep configured gear groups (NULL group never kept)."""
     gears = cfg.valid_gears
-    return df if gears is None else df.where(F.col("gr").isin(gears))
+    return df if gears is None else df.where(F.expr(_in("gr", gears)))
 
 
 def physical_master(hauls: DataFrame, cfg: SurveyConfig) -> DataFrame:

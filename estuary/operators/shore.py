@@ -121,13 +121,11 @@ def percent(cover: str, share_col: str, reference: str = "reference") -> Column:
     return F.expr(percent_sql(q(cover), q(share_col), reference))
 
 
-def share_aggs(valid: Column | None, ratio: ColumnOrName, ovr_wt: ColumnOrName,
-               ind_wt: ColumnOrName, prefix: str = "") -> list[Column]:
-    def s(x):
-        x = c(x)
-        return F.coalesce(F.sum(x if valid is None else F.when(valid, x)), F.lit(0.0))
-    return [s(ratio).alias(prefix + "str"), s(ovr_wt).alias(prefix + "ovr_wt1"),
-            s(ind_wt).alias(prefix + "ind_wt1")]
+def share_aggs(valid: str | None, ratio: str, ovr_wt: str, ind_wt: str,
+               prefix: str = "") -> list[Column]:
+    guard = (lambda x: f"CASE WHEN {q(valid)} THEN {q(x)} END") if valid else q
+    return [F.expr(f"coalesce(sum({guard(x)}), 0.0D)").alias(prefix + name)
+            for x, name in ((ratio, "str"), (ovr_wt, "ovr_wt1"), (ind_wt, "ind_wt1"))]
 
 
 def shore_shares(cats: DataFrame) -> DataFrame:
@@ -157,13 +155,11 @@ def shore_pivot(sums: DataFrame) -> DataFrame:
                 .na.fill(0.0, subset=SHORE_CATS))
 
 
-def shore_sum_aggs(valid: Column | None, cat: ColumnOrName, ratio: ColumnOrName) -> list[Column]:
+def shore_sum_aggs(valid: str | None, cat: str, ratio: str) -> list[Column]:
     """R6+R7 fused: per-haul category sums as conditional aggregates."""
-    out = []
-    for k in SHORE_CATS:
-        hit = c(cat) == k if valid is None else (valid & (c(cat) == k))
-        out.append(F.coalesce(F.sum(F.when(hit, c(ratio))), F.lit(0.0)).alias(k))
-    return out
+    guard = f"{q(valid)} AND " if valid else ""
+    return [F.expr(f"coalesce(sum(CASE WHEN {guard}{q(cat)} = '{k}' THEN {q(ratio)} END), 0.0D)").alias(k)
+            for k in SHORE_CATS]
 
 
 def cap(x: str) -> Column:

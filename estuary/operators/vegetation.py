@@ -90,15 +90,19 @@ def veg_categories(rows: DataFrame, codes: DataFrame) -> DataFrame:
     return df.withColumn("bveg_cat", veg_cat("code", "category"))
 
 
-def dominant_agg(ratio: ColumnOrName, code: ColumnOrName, description: ColumnOrName,
-                 where: Column | None = None) -> Column:
+def dominant_agg(ratio: str, code: str, description: str, where: str | None = None) -> Column:
     """V4 as an aggregate: description of the top row by (ratio desc, code asc)
-    when its ratio exceeds 5, else "SAV"."""
-    top = first_of_group([-c(ratio), c(code)],
-                         F.struct(c(ratio).alias("r"), c(description).alias("d")), where)
-    return F.when(top.isNotNull(),
-                  F.when(top.getField("r") > DOMINANT_MIN_RATIO, top.getField("d"))
-                   .otherwise(F.lit("SAV")))
+    when its ratio exceeds 5, else "SAV".
+
+    The top row is ``min(struct(-ratio, code, row))`` -- an ordinary
+    aggregate (see ``rsem.first_of_group``), combined map-side."""
+    key = (f"named_struct('k0', -{q(ratio)}, 'k1', {q(code)}, "
+           f"'r', {q(ratio)}, 'd', {q(description)})")
+    if where:
+        key = f"CASE WHEN {q(where)} THEN {key} END"
+    top = f"min({key})"
+    return F.expr(f"CASE WHEN {top} IS NULL THEN NULL WHEN {top}.r > {DOMINANT_MIN_RATIO} "
+                  f"THEN {top}.d ELSE 'SAV' END")
 
 
 def veg_dominant(cats: DataFrame) -> DataFrame:
@@ -119,13 +123,11 @@ def veg_pivot(sums: DataFrame) -> DataFrame:
                 .na.fill(0.0, subset=VEG_CATS))
 
 
-def veg_sum_aggs(valid: Column | None, cat: ColumnOrName, ratio: ColumnOrName) -> list[Column]:
+def veg_sum_aggs(valid: str | None, cat: str, ratio: str) -> list[Column]:
     """V5+V6 fused: per-haul category sums as conditional aggregates."""
-    out = []
-    for k in VEG_CATS:
-        hit = c(cat) == k if valid is None else (valid & (c(cat) == k))
-        out.append(F.coalesce(F.sum(F.when(hit, c(ratio))), F.lit(0.0)).alias(k))
-    return out
+    guard = f"{q(valid)} AND " if valid else ""
+    return [F.expr(f"coalesce(sum(CASE WHEN {guard}{q(cat)} = '{k}' THEN {q(ratio)} END), 0.0D)").alias(k)
+            for k in VEG_CATS]
 
 
 def presence_floor(x: str) -> Column:

@@ -72,7 +72,13 @@ def classified_rows(hab: DataFrame, codes: DataFrame, keys: DataFrame | None = N
 
 
 def habitat_aggregate(rows: DataFrame) -> DataFrame:
-    """All per-haul habitat aggregates in one ``groupBy(reference)``."""
+    """All per-haul habitat aggregates in one ``groupBy(reference)``.
+
+    Rows with no usable code in any component contribute nothing and are
+    dropped before the shuffle; a haul left without rows reads as NULL
+    habitat either way (absent here, or present with every component
+    flagged missing)."""
+    rows = rows.where("b_valid OR v_valid OR s_valid")
     return rows.groupBy("reference").agg(
         F.expr("max(CAST(b_valid AS INT))").alias("_has_bottom"),
         F.expr("max(CAST(v_valid AS INT))").alias("_has_veg"),

@@ -3,7 +3,7 @@
 The test data holds no survey tables, so ten views map ``orders`` (one row
 per haul) and ``lineitem`` (one row per habitat / hydrolab / catch record)
 onto the survey schemas.  The SQL texts are shared word for word with the
-DuckDB oracle (see ``oracle/``); ``{name}`` placeholders are bound to
+DuckDB oracle (see ``survey_oracle/``); ``{name}`` placeholders are bound to
 DataFrames on the Spark side and to table / CTE names on the DuckDB side.
 
 Every view is derived from the given tables, so the work of every query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.sql import GEAR_LABEL, MONTH_LABEL, _gr, rounded, with_stages
+from survey_oracle.sql import GEAR_LABEL, MONTH_LABEL, _gr, rounded, with_stages
 
 PHYS_D = ["startdepth", "enddepth", "wng_dpth", "soakhr", "soakmin", "dist_tow"]
 VEG = ["SAV", "Alg", "Non", "HA", "TH", "RU"]
@@ -136,7 +136,7 @@ def oracle_sql() -> dict[str, str]:
            "WHERE sgyear IS NULL")
     complete = "(SELECT * FROM enr WHERE TBNI_Score IS NOT NULL AND sgyear IS NOT NULL)"
     q["enr_complete"] = rounded(A, complete, ENR_D)
-    from oracle.sql import COM_COLS
+    from survey_oracle.sql import COM_COLS
     q["enr_export"] = rounded(A, complete, COM_D, ", ".join([*COM_COLS, "sgyear"]))
     q["enr_export_all"] = rounded(
         A, complete, [*COM_D, "acres", "mngacre", "TBNI_Score"],

@@ -139,6 +139,17 @@ def drop_clashing(right: DataFrame, left: DataFrame, keys: Iterable[str]) -> Dat
     return right if len(keep) == len(cols) else right.selectExpr(*[q(x) for x in keep])
 
 
+def pivot_fill(df: DataFrame, key: str | list[str], names: str, value: str,
+               values: list[str], fill=0.0) -> DataFrame:
+    """``pivot_wider(names_from, values_from, values_fill = fill)`` with an
+    explicit column list: one aggregate, no job to discover the names, a
+    schema fixed at analysis time.  Absent cells get ``fill``; rows whose
+    name is NULL or not listed still yield their key row (all filled)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    out = df.groupBy(*keys).pivot(names, values).agg(F.first(value))
+    return out.na.fill(fill, subset=values)
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every DOUBLE column (used only where results are compared across engines)."""
     cols = [f"round({q(f.name)}, {digits}) AS {q(f.name)}" if f.dataType.typeName() == "double"

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions import lookups as L
-from estuary.functions.rsem import ColumnOrName, c, case_expr, num, q, sql_lit
+from estuary.functions.rsem import ColumnOrName, c, case_expr, num, pivot_fill, q, sql_lit
 from estuary.operators.codes import SHORE_FIELD, codes_for
 from estuary.operators.physical import restrict
 
@@ -151,8 +151,7 @@ def shore_sums(cats: DataFrame) -> DataFrame:
 
 def shore_pivot(sums: DataFrame) -> DataFrame:
     """Wide table Man / Ter / Str / Eme, absent cells 0."""
-    return (sums.groupBy("reference").pivot("shore_cat", SHORE_CATS).agg(F.first("count"))
-                .na.fill(0.0, subset=SHORE_CATS))
+    return pivot_fill(sums, "reference", "shore_cat", "count", SHORE_CATS)
 
 
 def shore_sum_aggs(valid: str | None, cat: str, ratio: str) -> list[Column]:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions import lookups as L
-from estuary.functions.rsem import ColumnOrName, c, case_expr, first_of_group, num, q, sql_lit
+from estuary.functions.rsem import ColumnOrName, c, case_expr, num, pivot_fill, q, sql_lit
 from estuary.operators.codes import VEG_FIELD, codes_for
 from estuary.operators.physical import restrict
 
@@ -119,8 +119,7 @@ def veg_sums(cats: DataFrame) -> DataFrame:
 
 def veg_pivot(sums: DataFrame) -> DataFrame:
     """V6-V7: wide table, one column per category, absent cells 0."""
-    return (sums.groupBy("reference").pivot("bveg_cat", VEG_CATS).agg(F.first("k"))
-                .na.fill(0.0, subset=VEG_CATS))
+    return pivot_fill(sums, "reference", "bveg_cat", "k", VEG_CATS)
 
 
 def veg_sum_aggs(valid: str | None, cat: str, ratio: str) -> list[Column]:

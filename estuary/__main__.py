@@ -3,7 +3,7 @@
     python -m estuary --tables DIR --out DIR [--bay tb] [--type m]
         [--years 1999 2023] [--projects AM XX] [--gears 20 19] [--max-zone Z]
         [--all-hauls] [--split-shore-stratum] [--include-enrichment]
-        [--format csv|parquet] [--input-format parquet|csv]
+        [--format csv|parquet] [--input-format parquet|csv] [--skip TABLE ...]
 
 Inputs are the survey tables under ``--tables`` (see
 ``estuary.sources.schemas.TABLES`` for the file names); the index and
@@ -57,12 +57,16 @@ def main(argv=None) -> dict[str, str]:
     p.add_argument("--all-hauls", action="store_true")
     p.add_argument("--split-shore-stratum", action="store_true")
     p.add_argument("--include-enrichment", action="store_true")
+    p.add_argument("--skip", nargs="+", default=[], choices=sorted(schemas.TABLES),
+                   help="tables not to load (e.g. index seagrass when absent)")
     a = p.parse_args(argv)
     cfg = build_config(a)
     spark = survey_session("estuary")
     fmt = a.input_format
-    present = [n for n, (stem, _) in schemas.TABLES.items()
-               if os.path.exists(f"{a.tables.rstrip('/')}/{stem}.{fmt}") or "://" in a.tables]
+    # local roots: load what exists; remote roots (scheme://): everything
+    # not skipped (existence is not checked from the driver)
+    present = [n for n, (stem, _) in schemas.TABLES.items() if n not in a.skip
+               and ("://" in a.tables or os.path.exists(f"{a.tables.rstrip('/')}/{stem}.{fmt}"))]
     tables = io.load_tables(spark, a.tables, fmt=fmt, names=present)
     paths = pipeline.write_outputs(spark, tables, cfg, a.out, fmt=a.format)
     print(json.dumps(paths))

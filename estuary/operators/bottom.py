@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions import lookups as L
-from estuary.functions.rsem import ColumnOrName, c, case_expr, num, q, sql_lit
+from estuary.functions.rsem import case_expr, num, q, sql_lit
 
 
 def _names(xs) -> str:
@@ -53,12 +53,6 @@ def bottom_category(code: str, category: str) -> Column:
     return F.expr(bottom_category_sql(q(code), q(category)))
 
 
-def bottom_flag_key(bottom_cat: ColumnOrName) -> Column:
-    """Flags are matched case-insensitively (bMud -> bmud), whatever the
-    letter case the code dictionary stores its categories in."""
-    return F.lower(c(bottom_cat))
-
-
 def bottom_rows(hab: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """B2: kept habitat rows with a usable bottom code; record id as number."""
     df = hab if keys is None else restrict(hab, keys)
@@ -87,7 +81,9 @@ def bottom_first(cats: DataFrame) -> DataFrame:
 def bottom_flag_aggs(valid: str | None = None, cat: str = "bottom_cat") -> list[Column]:
     """Per-haul presence flags as conditional aggregates (one pass, no pivot job).
 
-    ``valid`` names a boolean column restricting the rows that count."""
+    Flags match the category case-insensitively (bMud -> bmud), whatever the
+    letter case the code dictionary stores.  ``valid`` names a boolean
+    column restricting the rows that count."""
     guard = f"{q(valid)} AND " if valid else ""
     return [F.expr(f"max(CASE WHEN {guard}lower({q(cat)}) = '{f}' THEN 1 ELSE 0 END)").alias(f)
             for f in BOTTOM_FLAGS]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions import lookups as L
-from estuary.functions.rsem import ColumnOrName, c, q, resolve, sql_lit
+from estuary.functions.rsem import q, resolve, sql_lit
 from estuary.operators.physical import restrict
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions import lookups as L
-from estuary.functions.rsem import ColumnOrName, c, case_expr, num, pivot_fill, q, sql_lit
+from estuary.functions.rsem import case_expr, num, pivot_fill, q, sql_lit
 from estuary.operators.codes import SHORE_FIELD, codes_for
 from estuary.operators.physical import restrict
 

@@ -71,3 +71,15 @@ def test_key_restriction_moves_below_aggregates_when_small(spark, tables):
     pushed = sum(1 for a, b in zip(lines, lines[1:])
                  if a.startswith("Aggregate [") and b.startswith("Join LeftSemi"))
     assert pushed >= 3        # habitat, hydrolab means, catch totals
+
+
+def test_key_restriction_stays_above_aggregates_when_large(spark, tables):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = pipeline.run_analysis(tables, ALL_HAULS).com
+        lines = [l.strip(" :+-") for l in df._jdf.queryExecution().optimizedPlan().toString().split("\n")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above = sum(1 for a, b in zip(lines, lines[1:])
+                if a.startswith("Join LeftSemi") and b.startswith("Aggregate ["))
+    assert above >= 3         # habitat, hydrolab means, catch totals aggregate first

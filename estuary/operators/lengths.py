@@ -67,3 +67,18 @@ def lengths_in(lens: DataFrame, com: DataFrame) -> DataFrame:
 def length_pipeline(rows: DataFrame, lengths: DataFrame) -> DataFrame:
     """L1-L5."""
     return length_dataset(length_frequency(lengths_matched(rows, length_rows(lengths))))
+
+
+def kept_length_dataset(rows: DataFrame, lengths: DataFrame, keys: DataFrame) -> DataFrame:
+    """L1-L5 for the kept hauls, written join -> aggregate -> restrict.
+
+    The frequency aggregate also groups by the haul (which the sample key
+    already determines), so the kept-haul semi join can follow it: Catalyst
+    moves it below the aggregate and the join when the key set can be
+    broadcast (rows filtered map-side first); otherwise it runs on the
+    aggregated frequencies instead of shuffling raw catch rows twice."""
+    matched = lengths_matched(rows, length_rows(lengths))
+    freq = matched.groupBy("bio_reference", "species", "sl", "reference").agg(
+        F.count(F.lit(1)).alias("count"))
+    freq = freq.join(keys, "reference", "left_semi").drop("reference")
+    return length_dataset(freq)

@@ -63,7 +63,8 @@ def run_analysis(tables: dict[str, DataFrame], cfg: SurveyConfig) -> Analysis:
     """The combined table and the length table."""
     full, parts = combined_full(tables, cfg)
     com = combine.keep_export(full)
-    lens = lengths.length_pipeline(parts["rows"], tables["lengths"])
+    lens = lengths.kept_length_dataset(catch.catch_rows(tables["counts"]), tables["lengths"],
+                                       parts["keys"])
     pairs = com_pairs(parts["fld"], parts["totals"])
     return Analysis(fld=parts["fld"], keys=parts["keys"], rows=parts["rows"],
                     totals=parts["totals"], com=com, len=lengths.lengths_in(lens, pairs))
@@ -133,7 +134,8 @@ def write_outputs(spark: SparkSession, tables: dict[str, DataFrame], cfg: Survey
     com_path = write(a.com, io.output_name(cfg, "c", fmt))
     com = (io.read_survey_csv(spark, com_path, a.com.schema) if fmt == "csv"
            else spark.read.parquet(com_path))
-    lens = lengths.lengths_in(lengths.length_pipeline(a.rows, tables["lengths"]), com)
+    lens = lengths.lengths_in(lengths.kept_length_dataset(catch.catch_rows(tables["counts"]),
+                                                          tables["lengths"], a.keys), com)
     write(lens, io.output_name(cfg, "l", fmt))
     for name, df in run_checks(com, tables["species_codes"]).items():
         if name.endswith("top50"):

@@ -69,3 +69,11 @@ def test_all_hauls_distributions(tables):
     assert per_haul(sh, "shore") == {
         "Ter": 1623, "Str": 4050, "StrTer": 1965, "Eme": 1582, "EmeTer": 744, "EmeStr": 1880,
         "EmeStrTer": 720}
+
+
+def test_enrichment_default(tables):
+    com = pipeline.run_analysis(tables, DEFAULT).com
+    enr = pipeline.run_enrichment(com, tables["index"], tables["seagrass"])
+    assert enr["index_check"].count() == 17
+    assert enr["seagrass_check"].count() == 37
+    assert enr["export"].select("reference").distinct().count() == 170

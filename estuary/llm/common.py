@@ -94,3 +94,17 @@ def list_column(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> p
     offsets = np.zeros(len(lengths) + 1, dtype=np.int32)
     np.cumsum(lengths, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=kind))
+
+
+def bytes_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
+    """The text column as UTF-8; null counts as empty."""
+    column = batch.column(batch.schema.get_field_index(name))
+    return [x if x is not None else b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """A column name that no column has, in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

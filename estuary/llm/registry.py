@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from estuary.llm.bpe import op2_bpe
+from estuary.llm.near_dedup import OP4_SQL, op4_minhash_dedup
 from estuary.llm.packing import op10_packing
+from estuary.llm.suffix_dedup import op5_suffix_dedup
 from estuary.llm.token_output import op1_token_output
 
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_bpe": op2_bpe,
+    "op4_minhash_dedup": op4_minhash_dedup,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op10_packing": op10_packing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_minhash_dedup": OP4_SQL,
+}

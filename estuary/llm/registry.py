@@ -7,12 +7,14 @@ from estuary.llm.near_dedup import OP4_SQL, op4_minhash_dedup
 from estuary.llm.packing import op10_packing
 from estuary.llm.suffix_dedup import op5_suffix_dedup
 from estuary.llm.token_output import op1_token_output
+from estuary.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_bpe": op2_bpe,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
 }
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -178,20 +178,33 @@ def worker_bpe(path: str) -> tuple[ByteBpe, PieceEncoder]:
     return _WORKERS[path]
 
 
-def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, token_ids array<int>) of every whole text."""
+def _lists(ids: list[bytes]) -> pa.ListArray:
+    return list_column(np.frombuffer(b"".join(ids), dtype="<i4"), np.array([len(x) // 4 for x in ids], dtype=np.int64), pa.int32())
+
+
+def coded(docs: DataFrame, vocabulary: str, outputs: dict[str, tuple[str, Callable]],
+          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The id, and for each output a column of its type made by its function.
+
+    A function gets the vocabulary and the ids of each text as little-endian
+    uint32 bytes, and returns an Arrow array; all run in one pass over the
+    texts, so no token list crosses between processes.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, encoder = worker_bpe(vocabulary)
+        bpe, encoder = worker_bpe(vocabulary)
         for batch in slices(batches, "text"):
             ids = encoder.encode(texts_of(batch))
-            lengths = np.array([len(x) // 4 for x in ids], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), list_column(np.frombuffer(b"".join(ids), dtype="<i4"), lengths, pa.int32())],
-                names=["doc_id", "token_ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(make(bpe, ids) for _, make in outputs.values())],
+                                             names=["doc_id", *outputs])
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, token_ids array<int>")
+        run, f"doc_id {kind}, " + ", ".join(f"{name} {k}" for name, (k, _) in outputs.items()))
+
+
+def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, token_ids array<int>) of every whole text."""
+    return coded(docs, vocabulary, {"token_ids": ("array<int>", lambda bpe, ids: _lists(ids))}, id_col, text_col)
 
 
 def decode(tokens: DataFrame, vocabulary: str) -> DataFrame:
@@ -210,25 +223,21 @@ def decode(tokens: DataFrame, vocabulary: str) -> DataFrame:
     return tokens.mapInArrow(run, f"doc_id {kind}, token_ids array<int>, text string")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """Token count and SHA-256 digests of the ids and the decoded text."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            raw = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4", copy=False).tobytes()
-            ends = (4 * np.cumsum(sizes)).tolist()
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(sizes),
-                pa.array([hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip([0, *ends], ends)], type=pa.string()),
-                pa.array([hashlib.sha256(t.encode("utf-8")).hexdigest() for t in batch.column(2).to_pylist()], type=pa.string()),
-            ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+def _decoded_digest(bpe: ByteBpe, ids: list[bytes]) -> pa.Array:
+    texts = (bpe.decode(np.frombuffer(x, dtype="<u4")).decode("utf-8", errors="replace") for x in ids)
+    return pa.array([hashlib.sha256(t.encode("utf-8")).hexdigest() for t in texts], type=pa.string())
+
 
-    return decoded.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+#: Token count and SHA-256 digests of the ids and of the text decoded from them.
+DIGESTS = {
+    "n_tokens": ("bigint", lambda bpe, ids: pa.array([len(x) // 4 for x in ids], type=pa.int64())),
+    "ids_sha256": ("string", lambda bpe, ids: pa.array([hashlib.sha256(x).hexdigest() for x in ids], type=pa.string())),
+    "decoded_sha256": ("string", _decoded_digest),
+}
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    return digests(decode(encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary))
+    return coded(table(spark, sf_dir, "documents"), vocabulary, DIGESTS)

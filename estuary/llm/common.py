@@ -72,7 +72,7 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts of each stay near ``max_bytes``."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Callable
 from itertools import chain
 
 
 #: Pieces that a worker keeps; beyond it the cache is emptied and fills anew.
-MAX_PIECES = 1_000_000
+MAX_PIECES = 600_000
 
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: White space other than blank, tab and line ends, under either library's reading.
@@ -80,7 +81,6 @@ def library_encoder(path: str) -> PieceEncoder:
     """
     if path not in _LIBRARY:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import numpy as np
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
@@ -90,7 +90,7 @@ def library_encoder(path: str) -> PieceEncoder:
         def encode_new(pieces: list[str]) -> list[bytes]:
             out = []
             for i in range(0, len(pieces), 20_000):  # bounds the Encoding objects alive
-                out += [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(pieces[i:i + 20_000], add_special_tokens=False)]
+                out += [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(pieces[i:i + 20_000], add_special_tokens=False)]
             return out
 
         _LIBRARY[path] = PieceEncoder(encode_new, spaced=tokenizer.normalizer is None)

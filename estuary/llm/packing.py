@@ -28,9 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from estuary.llm.common import list_column, slices, stored, table, texts_of
+from estuary.llm.common import slices, stored, table, texts_of
 from estuary.llm.encoding import library_encoder
-from estuary.llm.token_output import with_crc
 
 WINDOW = 1024
 END_ID = 0
@@ -216,7 +215,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, window: int, end_id: int, id_col
 
 def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = END_ID,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces with their ids, sequence and offset; each id lies in exactly one piece."""
+    """Pieces with their ids (little-endian uint32), sequence and offset; each id lies in exactly one piece."""
     pieces = stored(pieces_of(docs, vocabulary, window, end_id, id_col, text_col), "pieces")
     counts = stored(pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "piece_counts")
     histogram = np.zeros(window + 1, dtype=np.int64)
@@ -239,19 +238,19 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
             rec = records[order[np.repeat(begins[run] - (np.cumsum(n) - n), n) + np.arange(len(row))]]
             raw, sizes = batch.column(5).to_pylist(), rec[:, 4]
             ids = [np.frombuffer(x, dtype="<u2" if len(x) == 2 * k else "<u4") for x, k in zip(raw, length.tolist())]
-            flat = np.concatenate([ids[r][a:a + s] for r, a, s in zip(row.tolist(), rec[:, 3].tolist(), sizes.tolist())])
+            out = [ids[r][a:a + s].astype("<u4").tobytes() for r, a, s in zip(row.tolist(), rec[:, 3].tolist(), sizes.tolist())]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).take(pa.array(row)), pa.array(batch.column(1).to_numpy(zero_copy_only=False)[row] + rec[:, 3]),
                 pa.array(sizes), batch.column(3).take(pa.array(row)), pa.array(rec[:, 5] + idx[row] - rec[:, 1]),
-                pa.array(rec[:, 6]), list_column(flat.astype(np.int32), sizes, pa.int32())],
-                names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "token_ids"])
+                pa.array(rec[:, 6]), pa.array(out, type=pa.binary())],
+                names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
     return numbered.mapInArrow(place, "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, "
-                                      "offset bigint, token_ids array<int>")
+                                      "offset bigint, ids binary")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     rows = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
-    return with_crc(rows).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return rows.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from estuary.llm.bpe import op2_bpe
+from estuary.llm.fingerprints import op6_fingerprints
 from estuary.llm.near_dedup import OP4_SQL, op4_minhash_dedup
+from estuary.llm.neighbours import OP8_SQL, op8_learned_partitions
 from estuary.llm.packing import op10_packing
 from estuary.llm.suffix_dedup import op5_suffix_dedup
 from estuary.llm.token_output import op1_token_output
@@ -14,10 +16,13 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_fingerprints": op6_fingerprints,
+    "op8_learned_partitions": op8_learned_partitions,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
 }
 
 SQL: dict[str, str] = {
     "op4_minhash_dedup": OP4_SQL,
+    "op8_learned_partitions": OP8_SQL,
 }

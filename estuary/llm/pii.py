@@ -21,6 +21,8 @@ points, ends exclusive.  Columns other than id and text are passed on by
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,7 +108,7 @@ def found_in(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         return F.struct(entity(kind, x["v"]).alias("entity"), begin.alias("begin"), t.substr(begin + 1, x["s"] - begin).alias("left"),
                         x["e"].alias("end"), t.substr(x["e"] + 1, F.lit(CONTEXT)).alias("right"))
 
-    near = F.concat(*(F.transform(k, lambda x, k=k: context(k, x)) for k in KINDS))
+    near = F.concat(*(F.transform(k, partial(context, k)) for k in KINDS))
     slim = [F.transform(k, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias(k) for k in KINDS]
     return rows.select("id", "h", *slim, near.alias("near"))
 
@@ -163,14 +165,20 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def written(*kinds: str) -> Column:
     """kind:start:end by kind, then start, comma-joined."""
-    return F.concat_ws(",", *(F.transform(F.array_sort(k), lambda x, k=k: F.concat_ws(":", F.lit(k), x["s"], x["e"])) for k in kinds))
+    def one(kind: str, x: Column) -> Column:
+        return F.concat_ws(":", F.lit(kind), x["s"], x["e"])
+
+    return F.concat_ws(",", *(F.transform(F.array_sort(k), partial(one, k)) for k in kinds))
 
 
 def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with every span replaced by its kind in brackets; overlapping spans by the first one's."""
     h, at, spans = (fresh(c, docs.columns) for c in ("_h", "_id", "_spans"))
-    all_spans = F.array_sort(F.concat(*(F.transform(k, lambda x, k=k: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(k).alias("k")))
-                                        for k in (*KINDS, "term"))))
+
+    def named(kind: str, x: Column) -> Column:
+        return F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(kind).alias("k"))
+
+    all_spans = F.array_sort(F.concat(*(F.transform(k, partial(named, k)) for k in (*KINDS, "term"))))
     found = detect(docs, id_col, text_col).dropDuplicates(["id", "h"]).select(F.col("id").alias(at), F.col("h").alias(h), all_spans.alias(spans))
     text = F.col(text_col)
 

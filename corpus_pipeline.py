@@ -1,12 +1,62 @@
-"""Corpus pipeline: documents through the operators' stages, each written and read again."""
+"""Corpus pipeline: documents through the operators' stages, each written and read again.
+
+Every stage takes all rows its predecessor kept.  Filtering stages keep rows
+of unknown standing: a document leaves only if it is found toxic, or if it is
+not the first of its near-duplicate group.  Rows that repeat an id are one
+document, of which one row stays.  Tables may have further columns of any
+name; they are passed on.  An empty table passes through every stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from estuary.llm import near_dedup, packing, pii, suffix_dedup, toxicity
+from estuary.llm.common import fresh, stored, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score stays below the threshold; trained on the labels outside the held-out fold."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.keep_clean(docs, model)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of every group of near duplicates; documents without words or id stay."""
+    found = near_dedup.near_groups(docs)
+    gone = stored(found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct(), "near_gone")
+    other = gone.withColumnRenamed("_gone", fresh("_gone", docs.columns))
+    left = docs.join(other, docs["doc_id"] == other[other.columns[0]], "left_anti")
+    mark = fresh("_text", docs.columns)
+    # a repeated row has its id's hash partition, so this deals nothing anew; null ids are told apart by text
+    return left.withColumn(mark, F.when(F.col("doc_id").isNull(), F.col("text"))).dropDuplicates(["doc_id", mark]).select(*docs.columns)
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes that a repeated passage covers; characters cut in part go whole."""
+    return suffix_dedup.cut_texts(docs)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data, and terms that disclose it, replaced by their kind."""
+    return pii.sanitised(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the packed sequences, with their token ids."""
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
-from estuary.llm.common import stored, table
 
-STAGES = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("repeated_passages", drop_repeated_passages),
+    ("personal_data", mask_personal_data),
+    ("packing", pack_sequences),
+]
 
 #: SQL cannot express the stages; the tests hold them against brute force.
 ORACLE_SQL = None

@@ -289,47 +289,63 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return spans[0].union(spans[1]).union(spans[2])
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` and the ``kept`` bytes.
-
-    Column names that clash get a trailing underscore.
-    """
+def _cut(docs: DataFrame, id_col: str, text_col: str, schema: StructType, rows) -> DataFrame:
+    """``docs`` mapped by ``rows(batch, texts, masks)``; a mask tells the bytes that go, None where all stay."""
     columns = docs.columns
     rid, spans = fresh("_rid", columns), fresh("_spans", columns)
-    added = [fresh(c, columns) for c in ("n_bytes", "n_removed", "n_spans", "kept")]
     found = repeated_spans(docs, id_col, text_col).groupBy(F.col("rid").alias(rid)).agg(
         F.flatten(F.collect_list(F.array("begin", "end"))).alias(spans))
-    joined = docs.withColumn(rid, row_ids(id_col, text_col)).join(found, rid, "left").drop(rid)
-    place = joined.columns.index(spans)
+    joined = docs.withColumn(rid, row_ids(id_col, text_col)).join(found, rid, "left").select(*columns, spans)
+
+    def mask(size: int, edges: list[int]) -> np.ndarray:
+        depth = np.zeros(size + 1, dtype=np.int32)
+        pairs = np.minimum(np.array(edges), size)
+        np.add.at(depth, pairs[::2], 1)
+        np.add.at(depth, pairs[1::2], -1)
+        return np.cumsum(depth[:-1]) > 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col):
-            sizes, removed, runs, kept = [], [], [], []
-            for text, edges in zip(bytes_of(batch, text_col), batch.column(place).to_pylist()):
-                gone = 0
-                count = 0
-                if edges:
-                    depth = np.zeros(len(text) + 1, dtype=np.int32)
-                    pairs = np.minimum(np.array(edges), len(text))
-                    np.add.at(depth, pairs[::2], 1)
-                    np.add.at(depth, pairs[1::2], -1)
-                    covered = np.cumsum(depth[:-1]) > 0
-                    gone = int(covered.sum())
-                    count = int(np.count_nonzero(np.diff(np.concatenate([[False], covered]).view(np.int8)) == 1))
-                    kept.append(np.frombuffer(text, dtype=np.uint8)[~covered].tobytes())
-                else:
-                    kept.append(text)
-                sizes.append(len(text))
-                removed.append(gone)
-                runs.append(count)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(k) for k in range(batch.num_columns) if k != place]
-                + [pa.array(x, type=pa.int64()) for x in (sizes, removed, runs)] + [pa.array(kept, type=pa.binary())],
-                names=[*columns, *added])
+            texts = bytes_of(batch, text_col)
+            masks = [mask(len(t), e) if e else None for t, e in zip(texts, batch.column(batch.num_columns - 1).to_pylist())]
+            yield rows(batch.select(columns), texts, masks)
 
+    return joined.mapInArrow(run, schema)
+
+
+def kept_bytes(text: bytes, gone: np.ndarray | None) -> bytes:
+    return text if gone is None else np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` and the ``kept`` bytes.
+
+    Column names that clash get a trailing underscore.
+    """
+    added = [fresh(c, docs.columns) for c in ("n_bytes", "n_removed", "n_spans", "kept")]
     kinds = (LongType(), LongType(), LongType(), BinaryType())
+
+    def rows(batch: pa.RecordBatch, texts: list[bytes], masks: list) -> pa.RecordBatch:
+        runs = [0 if m is None else int(np.count_nonzero(np.diff(np.concatenate([[False], m]).view(np.int8)) == 1)) for m in masks]
+        counts = [[len(t) for t in texts], [0 if m is None else int(m.sum()) for m in masks], runs]
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns, *(pa.array(x, type=pa.int64()) for x in counts), pa.array(map(kept_bytes, texts, masks), type=pa.binary())],
+            names=[*batch.schema.names, *added])
+
     schema = StructType([*docs.schema.fields, *(StructField(n, k) for n, k in zip(added, kinds))])
-    return joined.mapInArrow(run, schema)
+    return _cut(docs, id_col, text_col, schema, rows)
+
+
+def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with their texts cut; characters of which a byte went go whole, null texts stay null."""
+    place = docs.columns.index(text_col)
+
+    def rows(batch: pa.RecordBatch, texts: list[bytes], masks: list) -> pa.RecordBatch:
+        old = batch.column(place)
+        new = [kept_bytes(t, m).decode("utf-8", "ignore") if ok else None for t, m, ok in zip(texts, masks, old.is_valid().to_pylist())]
+        return batch.set_column(place, text_col, pa.array(new, type=old.type))
+
+    return _cut(docs, id_col, text_col, docs.schema, rows)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

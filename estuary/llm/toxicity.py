@@ -367,6 +367,19 @@ def score_documents(docs: DataFrame, model: Model | None, id_col: str = "doc_id"
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def keep_clean(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, whole, that score below the threshold."""
+    ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in slices(batches, text_col):
+            yield batch.filter(pa.array(scorer.scores(texts_of(batch, text_col)) < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_documents(docs, train(docs, table(spark, sf_dir, "labels")))

@@ -4,6 +4,7 @@
         [--years 1999 2023] [--projects AM XX] [--gears 20 19] [--max-zone Z]
         [--all-hauls] [--split-shore-stratum] [--include-enrichment]
         [--format csv|parquet] [--input-format parquet|csv] [--skip TABLE ...]
+        [--extra PATH ...]
 
 Inputs are the survey tables under ``--tables`` (see
 ``estuary.sources.schemas.TABLES`` for the file names); the index and
@@ -59,16 +60,23 @@ def main(argv=None) -> dict[str, str]:
     p.add_argument("--include-enrichment", action="store_true")
     p.add_argument("--skip", nargs="+", default=[], choices=sorted(schemas.TABLES),
                    help="tables not to load (e.g. index seagrass when absent)")
+    p.add_argument("--extra", nargs="+", default=[], metavar="PATH",
+                   help="further tables keyed by reference (e.g. weather) to join to the hauls")
     a = p.parse_args(argv)
     cfg = build_config(a)
     spark = survey_session("estuary")
     fmt = a.input_format
+    if missing := [n for n in schemas.REQUIRED_TABLES if n in a.skip]:
+        p.error(f"required tables cannot be skipped: {', '.join(missing)}")
     # local roots: load what exists; remote roots (scheme://): everything
     # not skipped (existence is not checked from the driver)
     present = [n for n, (stem, _) in schemas.TABLES.items() if n not in a.skip
                and ("://" in a.tables or os.path.exists(f"{a.tables.rstrip('/')}/{stem}.{fmt}"))]
+    if missing := [schemas.TABLES[n][0] for n in schemas.REQUIRED_TABLES if n not in present]:
+        p.error(f"required tables are missing under {a.tables}: " + ", ".join(f"{stem}.{fmt}" for stem in missing))
     tables = io.load_tables(spark, a.tables, fmt=fmt, names=present)
-    paths = pipeline.write_outputs(spark, tables, cfg, a.out, fmt=a.format)
+    extra = [io.read_table(spark, path, fmt=fmt) for path in a.extra]
+    paths = pipeline.write_outputs(spark, tables, cfg, a.out, fmt=a.format, extra=extra)
     print(json.dumps(paths))
     return paths
 

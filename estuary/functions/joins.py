@@ -10,18 +10,10 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 200_000
 
 
-_checked: dict[tuple[int, int], bool] = {}
-
-
 def _at_most(df: DataFrame, max_rows: int) -> bool:
-    key = (df.semanticHash(), max_rows)
-    ok = _checked.get(key)
-    if ok is None:
-        ok = df.limit(max_rows + 1).count() <= max_rows
-        if len(_checked) > 1024:
-            _checked.clear()
-        _checked[key] = ok
-    return ok
+    """Counted anew on every call: a bound proven on other files, or on an
+    earlier state of the same ones, proves nothing."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def broadcast_if_bounded(df: DataFrame, bound: DataFrame,
@@ -46,5 +38,4 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     bound the DataFrame is returned unhinted and the planner picks a
     shuffled join (AQE still re-checks sizes at run time).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if _at_most(df, max_rows) else df

@@ -40,9 +40,20 @@ def case_expr(branches: list[tuple[str, str]], otherwise: str = "NULL") -> Colum
     return F.expr(f"CASE {body} ELSE {otherwise} END")
 
 
+def num_sql(x: str) -> str:
+    """``as.numeric`` of SQL text ``x``: a decimal number, else NULL.
+
+    Spark's cast also reads 'NaN', 'Infinity' and type suffixes ('20d');
+    none is a reading of the survey, and one NaN would spoil a haul's sums.
+    """
+    return f"CASE WHEN NOT CAST({x} AS STRING) RLIKE '[dDfFnNyY]' THEN try_cast({x} AS DOUBLE) END"
+
+
 def num(x: ColumnOrName) -> Column:
     """``as.numeric``: text to DOUBLE, unparsable text becomes NULL (never an error)."""
-    return c(x).try_cast("double")
+    if isinstance(x, str):
+        return F.expr(num_sql(q(x)))
+    return F.when(~x.cast("string").rlike("[dDfFnNyY]"), x.try_cast("double"))
 
 
 def r_ifelse(cond: Column, yes, no) -> Column:

@@ -10,24 +10,14 @@ from estuary.functions.joins import bounded_broadcast
 BOTTOM_FIELD, VEG_FIELD, SHORE_FIELD = "BottomType", "BottomVeg", "ShoreType"
 
 
-_memo: dict[tuple[int, str], tuple[DataFrame, DataFrame]] = {}
-
-
 def codes_for(codes: DataFrame, fieldname: str) -> DataFrame:
     """B1: (code, description, category) of one field.
 
     The dictionary is reference data (tens of rows per field).  It is
     broadcast after a bounded row-count check, so every lookup is a
     map-side hash join and the (large) habitat table is never shuffled for
-    it; an oversized dictionary falls back to a shuffled join.
+    it; an oversized dictionary falls back to a shuffled join.  The check is
+    made anew for every plan: files may change under the same path.
     """
-    key = (id(codes), fieldname)
-    hit = _memo.get(key)
-    if hit is not None and hit[0] is codes:
-        return hit[1]
-    out = bounded_broadcast(codes.where(F.col("fieldname") == fieldname)
-                                 .select("code", "description", "category"))
-    if len(_memo) > 256:
-        _memo.clear()
-    _memo[key] = (codes, out)
-    return out
+    return bounded_broadcast(codes.where(F.col("fieldname") == fieldname)
+                                  .select("code", "description", "category"))

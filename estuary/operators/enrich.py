@@ -11,8 +11,9 @@ from estuary.functions.rsem import asc_nulls_last, drop_clashing, first_of_group
 SEAGRASS_CHECK = ["reference", "latitude", "longitude", "year", "sgyear", "acres", "mngacre",
                   "FLUCCSCODE", "month", "gear", "TB_seg", "TBEP_seg", "season", "TBNI_Score",
                   "areas"]
-# row order inside a haul when one row per haul is reported
-ROW_ORDER = ["bio_reference", "species"]
+# row order inside a haul when one row per haul is reported; a haul with
+# several surface readings holds each of its pairs once for each of them
+ROW_ORDER = ["bio_reference", "species", "temp_surf", "sal_surf", "do2_surf"]
 
 
 def enrich(fld: DataFrame, index: DataFrame, seagrass: DataFrame) -> DataFrame:

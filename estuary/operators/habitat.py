@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estuary.functions.rsem import q
+from estuary.functions.rsem import num_sql, q
 from estuary.operators import bottom as B
 from estuary.operators import shore as S
 from estuary.operators import vegetation as V
@@ -46,9 +46,9 @@ def classified_rows(hab: DataFrame, codes: DataFrame, keys: DataFrame | None = N
         "reference", "bottomtype", "shoretype",
         F.expr(vcode).alias("v_code"),
         F.expr(f"{V.veg_valid_sql('bottomveg')} AND coalesce("
-               f"{V.veg_keep_sql('try_cast(habitat_record_id AS DOUBLE)', vcode)}, false)").alias("v_valid"),
-        F.expr("try_cast(BottomVegRatio AS DOUBLE)").alias("v_raw_ratio"),
-        F.expr("try_cast(ShoreTypeRatio AS DOUBLE)").alias("s_raw_ratio"),
+               f"{V.veg_keep_sql(num_sql('habitat_record_id'), vcode)}, false)").alias("v_valid"),
+        F.expr(num_sql("BottomVegRatio")).alias("v_raw_ratio"),
+        F.expr(num_sql("ShoreTypeRatio")).alias("s_raw_ratio"),
         F.expr(S.yes_no_sql("Inund")).alias("s_inund"), F.expr(S.yes_no_sql("`Over`")).alias("s_over"))
     bd, vd, sd = (_dict(codes, BOTTOM_FIELD, "b_"), _dict(codes, VEG_FIELD, "vd_"),
                   _dict(codes, SHORE_FIELD, "s_"))
@@ -100,7 +100,7 @@ def habitat_columns(df: DataFrame, veg_cover_raw: str = "bottomvegcover",
     projection (later stages read earlier results, as sequential R mutate
     lines do)."""
     df = df.withColumns({VEG_COVER: V.cover_for_weights(veg_cover_raw),
-                         SHORE_COVER: F.expr(f"try_cast({q(shore_cover_raw)} AS DOUBLE)"),
+                         SHORE_COVER: F.expr(num_sql(q(shore_cover_raw))),
                          "bottom": B.bottom_label()})
     df = V.finish(df, cover=VEG_COVER)
     ovr = S.share_sql("_s_ovr_wt1", "_s_str")

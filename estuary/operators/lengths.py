@@ -58,8 +58,10 @@ def lengths_in(lens: DataFrame, com: DataFrame) -> DataFrame:
     """Keep (sample, species) pairs present in the combined table.
 
     Null-safe semi join (a zero-catch or unknown species is NULL on both
-    sides and still matches); never fans out."""
-    pairs = com.select(F.col("bio_reference").alias("_b"), F.col("species").alias("_s"))
+    sides and still matches); never fans out.  The pairs are made distinct
+    map-side first: every zero-catch haul adds the pair (NULL, NULL), which
+    would otherwise gather in one partition that AQE cannot split."""
+    pairs = com.select(F.col("bio_reference").alias("_b"), F.col("species").alias("_s")).distinct()
     cond = lens["bio_reference"].eqNullSafe(pairs["_b"]) & lens["species"].eqNullSafe(pairs["_s"])
     return lens.join(pairs, cond, "left_semi")
 

@@ -15,7 +15,9 @@ def _both_cases(code: str) -> list[str]:
 
 
 def _in(col: str, values) -> str:
-    return f"{q(col)} IN ({', '.join(sql_lit(v) for v in values)})"
+    """``col %in% values`` as a filter term; an empty set keeps no row."""
+    values = list(values)
+    return f"{q(col)} IN ({', '.join(sql_lit(v) for v in values)})" if values else "false"
 
 
 def selection_predicate(cfg: SurveyConfig) -> Column | None:
@@ -23,22 +25,22 @@ def selection_predicate(cfg: SurveyConfig) -> Column | None:
 
     Written as plain comparisons / IN lists on stored columns so Catalyst
     pushes every term into the parquet scan (``upper(bay) = ...`` would not
-    push; ``bay IN ('tb', 'TB')`` does).  Project codes follow ``%in%``: a
-    missing code is simply not in the set.
+    push; ``bay IN ('tb', 'TB')`` does).  A filter drops NULL and FALSE
+    alike, so a missing project code is simply not in the set.  A year range
+    may be open at either end; reversed years and empty sets keep no row.
     """
     terms: list[str] = []
     if cfg.bay is not None:
         terms.append(_in("bay", _both_cases(cfg.bay)))
     if cfg.sampling_type is not None:
         terms.append(_in("type", _both_cases(cfg.sampling_type)))
-    if cfg.first_year is not None or cfg.last_year is not None:
-        lo = cfg.first_year if cfg.first_year is not None else cfg.last_year
-        hi = cfg.last_year if cfg.last_year is not None else cfg.first_year
-        terms.append(_in("year", range(lo, hi + 1)))
+    if cfg.first_year is not None:
+        terms.append(f"year >= {sql_lit(cfg.first_year)}")
+    if cfg.last_year is not None:
+        terms.append(f"year <= {sql_lit(cfg.last_year)}")
     if cfg.project_set is not None:
         ps = cfg.project_set
-        terms.append("(" + " OR ".join(f"coalesce({_in(p, ps)}, false)"
-                                       for p in ("Project_1", "Project_2", "Project_3")) + ")")
+        terms.append("(" + " OR ".join(_in(p, ps) for p in ("Project_1", "Project_2", "Project_3")) + ")")
     if cfg.zones is not None:
         terms.append(_in("zone", cfg.zones))
     elif cfg.max_zone is not None:

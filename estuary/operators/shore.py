@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions import lookups as L
-from estuary.functions.rsem import case_expr, num, pivot_fill, q, sql_lit
+from estuary.functions.rsem import case_expr, num, num_sql, pivot_fill, q, sql_lit
 from estuary.operators.codes import SHORE_FIELD, codes_for
 from estuary.operators.physical import restrict
 
@@ -71,7 +71,7 @@ def shore_rows(hab: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     extra = ["level"] if "level" in df.columns else []
     return df.select("reference", num("habitat_record_id").alias("habitat_record_id"),
                      F.col("shoretype").alias("code"),
-                     F.expr(shore_ratio_sql("shoretype", "try_cast(ShoreTypeRatio AS DOUBLE)"))
+                     F.expr(shore_ratio_sql("shoretype", num_sql("ShoreTypeRatio")))
                       .alias("ShoreTypeRatio"),
                      yes_no("Inund").alias("Inund"), yes_no("Over").alias("Over"), *extra)
 
@@ -98,17 +98,17 @@ def shore_categories(rows: DataFrame, codes: DataFrame) -> DataFrame:
 
 def ref_year_sql(reference: str = "reference") -> str:
     """Survey year from characters 4-7 of the haul key."""
-    return f"try_cast(substring({q(reference)}, 4, 4) AS DOUBLE)"
+    return num_sql(f"substring({q(reference)}, 4, 4)")
 
 
 def share_sql(weighted: str, total: str, reference: str = "reference") -> str:
     y = ref_year_sql(reference)
     return (f"CASE WHEN {y} IS NULL OR {y} < {L.SHARE_FIRST_YEAR} THEN CAST(NULL AS DOUBLE) "
-            f"ELSE round(try_divide({weighted}, {total}), 3) END")
+            f"ELSE bround(try_divide({weighted}, {total}), 3) END")
 
 
 def share(weighted: str, total: str, reference: str = "reference") -> Column:
-    """Weighted share, 3 decimals; NULL before the first year shares were recorded."""
+    """Weighted share, 3 decimals with ties to even; NULL before the first year shares were recorded."""
     return F.expr(share_sql(q(weighted), q(total), reference))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions import lookups as L
-from estuary.functions.rsem import case_expr, num, pivot_fill, q, sql_lit
+from estuary.functions.rsem import case_expr, num, num_sql, pivot_fill, q, sql_lit
 from estuary.operators.codes import VEG_FIELD, codes_for
 from estuary.operators.physical import restrict
 
@@ -27,7 +27,7 @@ def veg_cover(fld: DataFrame) -> DataFrame:
 
 
 def cover_for_weights(x: str) -> Column:
-    v = f"try_cast({q(x)} AS DOUBLE)"
+    v = num_sql(q(x))
     return F.expr(f"CASE WHEN {v} = {L.COVER_FULL_CODE} THEN 1.0D ELSE {v} END")
 
 

@@ -1,6 +1,8 @@
 """The survey pipelines (Z1-Z4) as lazy DataFrame graphs.
 
-Nothing here triggers a Spark action except the ``write_*`` functions.
+Only the ``write_*`` functions run over the data.  While plans are built, the
+row counts of the code lists and of the distinct zones are checked for the
+broadcast hints (small jobs on small or pruned tables), and nothing else runs.
 ``run_analysis`` returns DataFrames whose plans Catalyst optimises as a
 whole: filters reach the parquet scans, every per-haul table is keyed and
 partitioned on ``reference`` and the combine step is a chain of left joins
@@ -9,11 +11,13 @@ on that one key.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from estuary.config import SurveyConfig
+from estuary.config import EXPORT_VARS, SurveyConfig
 from estuary.operators import catch, checks, combine, enrich, habitat, hydro, lengths, physical
 from estuary.sources import io
 
@@ -28,8 +32,12 @@ class Analysis:
     len: DataFrame        # length table restricted to pairs in ``com``
 
 
-def combined_full(tables: dict[str, DataFrame], cfg: SurveyConfig) -> tuple[DataFrame, dict]:
-    """M1 with every column (before the export projection)."""
+def combined_full(tables: dict[str, DataFrame], cfg: SurveyConfig,
+                  extra: Sequence[DataFrame] = ()) -> tuple[DataFrame, dict]:
+    """M1 with every column (before the export projection).
+
+    ``extra``: further tables keyed by ``reference`` (weather, say), joined
+    to the hauls; columns that a haul already has are left out."""
     fld = physical.physical_master(tables["hauls"], cfg)
     keys = physical.retained_keys(fld)
     hyd = hydro.hydro_summary(tables["hydro"], fld, keys)
@@ -44,7 +52,7 @@ def combined_full(tables: dict[str, DataFrame], cfg: SurveyConfig) -> tuple[Data
         habitat.habitat_aggregate(habitat.classified_rows(tables["habitat"], tables["codes"])), keys)
     df = combine.left_chain(fld, [hab_agg])
     df = habitat.habitat_columns(df)
-    df = combine.combine(df, None, hyd, totals)
+    df = combine.combine(df, None, hyd, totals, extra)
     return df, {"fld": fld, "keys": keys, "rows": rows, "totals": totals}
 
 
@@ -59,10 +67,17 @@ def com_pairs(fld: DataFrame, totals: DataFrame) -> DataFrame:
     return combine.left_chain(fld.select("reference"), [totals]).select("bio_reference", "species")
 
 
-def run_analysis(tables: dict[str, DataFrame], cfg: SurveyConfig) -> Analysis:
-    """The combined table and the length table."""
-    full, parts = combined_full(tables, cfg)
-    com = combine.keep_export(full)
+def pair_repeats(com: DataFrame) -> DataFrame:
+    """(sample, species) pairs that the combined table holds more than
+    once; a haul with several surface readings repeats all its pairs."""
+    return com.groupBy("bio_reference", "species").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def run_analysis(tables: dict[str, DataFrame], cfg: SurveyConfig,
+                 extra: Sequence[DataFrame] = ()) -> Analysis:
+    """The combined table, with the columns of ``extra`` after the export ones, and the length table."""
+    full, parts = combined_full(tables, cfg, extra)
+    com = combine.keep_export(full, [*EXPORT_VARS, *(c for x in extra for c in x.columns)])
     lens = lengths.kept_length_dataset(catch.catch_rows(tables["counts"]), tables["lengths"],
                                        parts["keys"])
     pairs = com_pairs(parts["fld"], parts["totals"])
@@ -112,14 +127,15 @@ def habitat_summary(tables: dict[str, DataFrame], cfg: SurveyConfig) -> DataFram
 
 
 def write_outputs(spark: SparkSession, tables: dict[str, DataFrame], cfg: SurveyConfig,
-                  out_dir: str, fmt: str = "csv") -> dict[str, str]:
+                  out_dir: str, fmt: str = "csv", extra: Sequence[DataFrame] = ()) -> dict[str, str]:
     """Run Z1 + Z2 and write every output table.
 
-    ``com`` is written first and read back for the length filter and the
-    QA tables, which cuts the lineage: a lost executor later re-reads the
-    written table instead of recomputing the whole analysis.  Writes are
+    ``com`` is written first, always as parquet too, and read back from
+    there for the length filter and the QA tables: a lost executor later
+    re-reads the written table instead of recomputing the whole analysis,
+    and the other outputs do not depend on the export format.  Writes are
     overwrite-mode, so a retried job is idempotent."""
-    a = run_analysis(tables, cfg)
+    a = run_analysis(tables, cfg, extra)
     paths = {}
 
     def write(df, name):
@@ -131,9 +147,13 @@ def write_outputs(spark: SparkSession, tables: dict[str, DataFrame], cfg: Survey
         paths[name] = path
         return path
 
-    com_path = write(a.com, io.output_name(cfg, "c", fmt))
-    com = (io.read_survey_csv(spark, com_path, a.com.schema) if fmt == "csv"
-           else spark.read.parquet(com_path))
+    com_path = f"{out_dir.rstrip('/')}/{io.output_name(cfg, 'c', 'parquet')}"
+    io.write_table(a.com, com_path)
+    com = spark.read.parquet(com_path)
+    if fmt == "csv":
+        write(com, io.output_name(cfg, "c", fmt))
+    else:
+        paths[io.output_name(cfg, "c", fmt)] = com_path
     lens = lengths.lengths_in(lengths.kept_length_dataset(catch.catch_rows(tables["counts"]),
                                                           tables["lengths"], a.keys), com)
     write(lens, io.output_name(cfg, "l", fmt))

@@ -51,6 +51,36 @@ def q_phys_select(t):
     return physical.select_hauls(t["hauls"], DEFAULT)
 
 
+SELECT_FROM = ALL_HAULS.with_(first_year=1995)
+SELECT_UNTIL = ALL_HAULS.with_(last_year=1994)
+SELECT_ZONES = ALL_HAULS.with_(zones=("A", "C", "Z1"))
+
+
+@query("phys_select_from")
+def q_phys_select_from(t):
+    """A year range that is open at its end."""
+    return physical.select_hauls(t["hauls"], SELECT_FROM)
+
+
+@query("phys_select_until")
+def q_phys_select_until(t):
+    """A year range that is open at its start."""
+    return physical.select_hauls(t["hauls"], SELECT_UNTIL)
+
+
+@query("phys_select_zones")
+def q_phys_select_zones(t):
+    """A list of zones, one of them beyond the default limit."""
+    return physical.select_hauls(t["hauls"], SELECT_ZONES)
+
+
+@query("hyd_restrict_all")
+def q_hyd_restrict_all(t):
+    """Every haul's readings: the twin of ``hyd_restrict`` over the whole table."""
+    fld = physical.physical_master(t["hauls"], ALL_HAULS)
+    return physical.restrict(t["hydro"], physical.retained_keys(fld))
+
+
 @query("phys_gear_group")
 def q_phys_gear_group(t):
     return t["hauls"].select("reference", "gear", "stratum",
@@ -383,6 +413,18 @@ def q_com_keep(t):
     return combine.keep_export(pipeline.combined_full(t, ALL_HAULS)[0])
 
 
+@query("com_extra")
+def q_com_extra(t):
+    """The combined table with a further haul table."""
+    weather = t["hauls"].select("reference", (F.col("year") % 7).cast("double").alias("wind"))
+    return pipeline.run_analysis(t, ALL_HAULS, extra=[weather]).com
+
+
+@query("com_pair_repeats")
+def q_com_pair_repeats(t):
+    return pipeline.pair_repeats(pipeline.run_analysis(t, ALL_HAULS).com)
+
+
 @query("pipe_com")
 def q_pipe_com(t):
     return pipeline.run_analysis(t, DEFAULT).com

@@ -15,10 +15,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# one row per (l_orderkey, l_linenumber): the pair repeats in lineitem
+from estuary.sources import io, schemas
+
+# every row, numbered within its order; the pair (l_orderkey, l_linenumber)
+# repeats in lineitem, so a haul can have several surface readings
 FX_LINE = """
-SELECT l_orderkey, l_linenumber, min(l_partkey) pk, min(l_suppkey) sk, min(l_quantity) qty, min(l_discount) disc, min(l_tax) tax
-FROM {lineitem} GROUP BY l_orderkey, l_linenumber
+SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax) AS INT) AS rec,
+ l_partkey AS pk, l_suppkey AS sk, l_quantity AS qty, l_discount AS disc, l_tax AS tax
+FROM {lineitem}
 """
 
 FX_HAUL = """
@@ -44,7 +48,7 @@ FROM {orders}
 """
 
 FX_HAB = """
-SELECT h.reference, CAST(l.l_linenumber AS STRING) AS habitat_record_id,
+SELECT h.reference, CAST(l.rec AS STRING) AS habitat_record_id,
  CASE pk % 7 WHEN 0 THEN 'M' WHEN 1 THEN 'S' WHEN 2 THEN 'U' WHEN 3 THEN 'N' WHEN 4 THEN '' WHEN 5 THEN NULL ELSE 'O' END AS bottomtype,
  CASE sk % 10 WHEN 0 THEN 'HA' WHEN 1 THEN 'TH' WHEN 2 THEN 'RU' WHEN 3 THEN 'SM' WHEN 4 THEN 'AM' WHEN 5 THEN 'UN' WHEN 6 THEN 'NO' WHEN 7 THEN '' WHEN 8 THEN NULL ELSE '.' END AS bottomveg,
  CASE WHEN pk % 4 = 0 THEN NULL ELSE CAST(pk % 11 AS STRING) END AS BottomVegRatio,
@@ -64,7 +68,7 @@ FROM {fx_line} l JOIN {fx_haul} h ON l.l_orderkey = h.o_orderkey
 """
 
 FX_BIO = """
-SELECT h.reference, l_linenumber AS Species_record_id, CASE pk % 2 WHEN 0 THEN 'a' ELSE 'B' END AS SC,
+SELECT h.reference, rec AS Species_record_id, CASE pk % 2 WHEN 0 THEN 'a' ELSE 'B' END AS SC,
  CASE pk % 8 WHEN 0 THEN '8835440102' WHEN 1 THEN '61890213 01' WHEN 2 THEN '8747010401' WHEN 3 THEN '8805020302' WHEN 4 THEN '9998000000' WHEN 5 THEN '883544010201' WHEN 6 THEN '8776014401' ELSE NULL END AS NODCCODE,
  CASE WHEN pk % 17 = 0 THEN NULL WHEN pk % 19 = 0 THEN CAST(0 AS DOUBLE) ELSE qty END AS Number,
  CASE pk % 5 WHEN 0 THEN CAST(2 AS DOUBLE) WHEN 1 THEN CAST(3 AS DOUBLE) ELSE NULL END AS Splittype,
@@ -77,9 +81,9 @@ FROM {fx_line} l JOIN {fx_haul} h ON l.l_orderkey = h.o_orderkey
 # Spark generates the k values per row with explode(sequence(..)); the
 # oracle uses unnest(generate_series(..)).  Same rows, no pairing join.
 _FX_LEN_SELECT = """
-SELECT reference, CAST(l_linenumber AS STRING) AS species_record_id, CAST(k AS STRING) AS length_record_id,
+SELECT reference, CAST(rec AS STRING) AS species_record_id, CAST(k AS STRING) AS length_record_id,
  CASE WHEN (pk + k) % 13 = 0 THEN '.' ELSE CAST(20 + (pk + k * k) % 6 AS STRING) END AS length
-FROM (SELECT h.reference, l.l_linenumber, l.pk, {k_values} AS k
+FROM (SELECT h.reference, l.rec, l.pk, {k_values} AS k
       FROM {fx_line} l JOIN {fx_haul} h ON l.l_orderkey = h.o_orderkey) e
 """
 FX_LEN_SPARK = _FX_LEN_SELECT.replace("{k_values}", "explode(sequence(CAST(1 AS BIGINT), 1 + l.pk % 4))")
@@ -127,8 +131,8 @@ def duckdb_ctes(names=None) -> str:
 
 def survey_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The survey tables, as lazy DataFrames over ``sf_dir``'s parquet files."""
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    lineitem = io.read_table(spark, f"{sf_dir}/lineitem.parquet", schemas.LINEITEM)
+    orders = io.read_table(spark, f"{sf_dir}/orders.parquet", schemas.ORDERS)
     fx_line = spark.sql(FX_LINE, lineitem=lineitem)
     fx_haul = spark.sql(FX_HAUL, orders=orders)
     return {

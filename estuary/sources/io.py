@@ -11,9 +11,11 @@ from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estuary.config import SurveyConfig
+from estuary.functions.rsem import num_sql, q
 from estuary.sources import schemas
 
 
@@ -22,15 +24,52 @@ def _ci_glob(ext: str) -> str:
     return "*." + "".join(f"[{ch.lower()}{ch.upper()}]" if ch.isalpha() else ch for ch in ext)
 
 
+def typed(raw: DataFrame, schema: T.StructType, optional: Iterable[str] = schemas.OPTIONAL) -> DataFrame:
+    """``raw`` with the declared columns, found by name, in their declared types.
+
+    Columns of the right type are left alone, so filters still reach the
+    scan; texts that are no number and values out of range become NULL (see
+    ``unreadable``), and a FLOAT goes through its decimal text, so a stored
+    0.2 still equals 0.2.  Columns beyond the schema are passed on unchanged.
+    A missing optional column is NULL; any other missing column is an error.
+    """
+    kinds = dict(raw.dtypes)
+    missing = [f.name for f in schema.fields if f.name not in kinds]
+    if lost := [n for n in missing if n not in set(optional)]:
+        raise ValueError(f"columns {lost} are missing; the table has {raw.columns}")
+
+    def cast(f: T.StructField) -> str:
+        name, have, want = q(f.name), kinds.get(f.name), f.dataType.simpleString()
+        if have is None:
+            return f"CAST(NULL AS {want}) AS {name}"
+        if have == want:
+            return name
+        if want == "string":
+            return f"CAST({name} AS STRING) AS {name}"
+        value = num_sql(name) if have in ("string", "float") else f"try_cast({name} AS DOUBLE)"
+        if have == "float":
+            value = num_sql(f"CAST({name} AS STRING)")
+        return f"try_cast({value} AS {want}) AS {name}"
+
+    declared = set(schema.names)
+    return raw.selectExpr(*(cast(f) for f in schema.fields), *(q(c) for c in raw.columns if c not in declared))
+
+
+def unreadable(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row: for each declared column, how many values its type cannot hold."""
+    present = T.StructType([f for f in schema.fields if f.name in raw.columns])
+    names = present.names
+    both = typed(raw.select(*(F.col(n) for n in names), *(F.col(n).alias("raw " + n) for n in names)), present)
+    return both.agg(*(F.count_if(F.col(q(n)).isNull() & (F.trim(F.col(q("raw " + n)).cast("string")) != "")).alias(n) for n in names))
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                fmt: str = "parquet") -> DataFrame:
-    """Read one table (a file or a directory of part files)."""
+    """Read one table (a file or a directory of part files), by column name."""
     if fmt == "csv":
         return read_survey_csv(spark, path, schema)
-    reader = spark.read.format(fmt)
-    if schema is not None and fmt != "parquet":
-        reader = reader.schema(schema)
-    return reader.load(path)
+    raw = spark.read.format(fmt).load(path)
+    return raw if schema is None else typed(raw, schema)
 
 
 def load_tables(spark: SparkSession, root: str | list[str], fmt: str = "parquet",
@@ -42,8 +81,8 @@ def load_tables(spark: SparkSession, root: str | list[str], fmt: str = "parquet"
     each table is then one scan over all of them -- Spark lists the files
     of every folder and splits them into tasks together; parquet merges
     schemas, so a column missing in older years reads as NULL.  ``files``
-    overrides the file stem per logical name.  Parquet carries its own
-    schema; CSV is read with the declared ``StructType``.
+    overrides the file stem per logical name.  In either format columns are
+    found by name and brought to their declared types (see ``typed``).
     """
     roots = [root] if isinstance(root, str) else list(root)
     files = files or {}
@@ -55,7 +94,7 @@ def load_tables(spark: SparkSession, root: str | list[str], fmt: str = "parquet"
         if len(paths) == 1:
             out[name] = read_table(spark, paths[0], schema, fmt)
         elif fmt == "parquet":
-            out[name] = spark.read.option("mergeSchema", "true").parquet(*paths)
+            out[name] = typed(spark.read.option("mergeSchema", "true").parquet(*paths), schema)
         else:
             out[name] = union_all(read_table(spark, p, schema, fmt) for p in paths)
     return out
@@ -77,24 +116,27 @@ def load_dir(spark: SparkSession, root: str, ext: str = "parquet",
 
 def read_survey_csv(spark: SparkSession, path: str,
                     schema: T.StructType | None = None) -> DataFrame:
-    """Headed CSV with "NA" as the missing-value marker.  With a schema the
-    read is typed and single-pass; without one every column is text."""
-    reader = (spark.read.option("header", "true").option("nullValue", "NA")
-              .option("mode", "PERMISSIVE"))
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+    """Headed CSV with "NA" as the missing-value marker.
+
+    The file's own header names the columns, whatever their order; files of
+    one directory must agree on it, else the read fails.  With a schema the
+    declared columns get their types; all others stay text.  A quoted empty
+    value is an empty text, not a missing one.
+    """
+    raw = (spark.read.option("header", "true").option("nullValue", "NA")
+           .option("enforceSchema", "false").option("mode", "FAILFAST").csv(path))
+    return raw if schema is None else typed(raw, schema)
 
 
-def write_survey_csv(df: DataFrame, path: str, mode: str = "overwrite",
-                     single_file: bool = False) -> None:
-    """Headed CSV, NULL written as "NA".  Writes a directory of part files;
-    ``single_file`` coalesces to one part and is meant for small summary
-    tables only (it funnels the data through one task)."""
-    if single_file:
-        df = df.coalesce(1)
+def write_survey_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Headed CSV: NULL is written as NA, an empty text as a quoted empty value.
+
+    A directory of part files.  CSV has no mark that would tell a text that
+    is itself "NA" from a missing one; such a text reads back as missing, so
+    whatever is to be read again is kept as parquet.
+    """
     (df.write.mode(mode).option("header", "true").option("nullValue", "NA")
-       .option("emptyValue", "").csv(path))
+       .option("emptyValue", '""').csv(path))
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",

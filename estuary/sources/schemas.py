@@ -42,6 +42,18 @@ INDEX = _st(("reference", S), ("TBNI_Score", D), ("ScoreNumTaxa", I), ("ScoreSha
 SEAGRASS = _st(("reference", S), ("sgyear", I), ("FLUCCSCODE", S), ("acres", D),
                ("areas", S), ("mngacre", D))
 
+# columns that older exports may lack; every other declared column must be there
+OPTIONAL = ("level", "Project_2", "Project_3")
+
+# what a run cannot do without; the index and seagrass tables only add outputs
+REQUIRED_TABLES = ("hauls", "hydro", "habitat", "counts", "lengths", "codes", "species_codes")
+
+# the columns of the test data that the survey fixtures read
+ORDERS = _st(("o_orderkey", T.LongType()), ("o_custkey", T.LongType()), ("o_orderstatus", S),
+             ("o_orderdate", T.TimestampNTZType()))
+LINEITEM = _st(("l_orderkey", T.LongType()), ("l_partkey", T.LongType()), ("l_suppkey", T.LongType()),
+               ("l_linenumber", I), ("l_quantity", D), ("l_discount", D), ("l_tax", D))
+
 # logical table name -> (default file stem, schema)
 TABLES: dict[str, tuple[str, T.StructType]] = {
     "hauls": ("physical_master", HAULS),

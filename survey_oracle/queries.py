@@ -17,6 +17,9 @@ def oracle_sql() -> dict[str, str]:
     A, DF = "all", "default"
     # physical
     q["phys_select"] = rounded(DF, "phys_sel", PHYS_D)
+    phys_d = ", ".join(f"round({d}, 6) AS {d}" for d in PHYS_D)
+    for name, test in (("from", "year >= 1995"), ("until", "year <= 1994"), ("zones", "zone IN ('A', 'C', 'Z1')")):
+        q[f"phys_select_{name}"] = with_stages(A, f"SELECT * REPLACE ({phys_d}) FROM fx_haul WHERE {test}")
     q["phys_gear_group"] = rounded(A, "phys_all", [], "reference, gear, stratum, gr")
     q["phys_gear_group_split"] = with_stages(
         A, f"SELECT reference, gear, stratum, {_gr(True)} AS gr FROM fx_haul")
@@ -30,6 +33,7 @@ def oracle_sql() -> dict[str, str]:
     q["phys_retained"] = rounded(DF, "ret", [])
     # hydrolab
     q["hyd_restrict"] = rounded(DF, "hyd_in", ["depth", "temperature", "salinity", "dissolvedO2"])
+    q["hyd_restrict_all"] = rounded(A, "hyd_in", ["depth", "temperature", "salinity", "dissolvedO2"])
     q["hyd_mean"] = rounded(A, "hyd_mean", ["temperature", "salinity", "dissolvedO2"])
     q["hyd_surface"] = rounded(A, "hyd_surf", ["temp_surf", "sal_surf", "do2_surf"])
     q["hyd_zone"] = rounded(A, "hyd_fld", HYD[:-1])
@@ -91,6 +95,11 @@ def oracle_sql() -> dict[str, str]:
         A, "SELECT reference, round(CASE WHEN TRY_CAST(bottomvegcover AS DOUBLE) = 101 THEN 51::DOUBLE "
            "ELSE TRY_CAST(bottomvegcover AS DOUBLE) END, 6) AS bottomvegcover FROM phys")
     q["com_keep"] = rounded(A, "com", COM_D)
+    com_d = ", ".join(f'round(c."{d}", 6) AS "{d}"' for d in COM_D)
+    q["com_extra"] = with_stages(A, f"SELECT c.* REPLACE ({com_d}), CAST(h.year % 7 AS DOUBLE) AS wind "
+                                    "FROM com c JOIN fx_haul h ON c.reference = h.reference")
+    q["com_pair_repeats"] = with_stages(
+        A, "SELECT bio_reference, species, count(*) AS n FROM com GROUP BY bio_reference, species HAVING count(*) > 1")
     q["pipe_com"] = rounded(DF, "com", COM_D)
     # checks
     q["qa_named"] = rounded(A, "chck", COM_D)

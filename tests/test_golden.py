@@ -1,4 +1,4 @@
-"""Golden counts from FIXTURES.md §3 (computed independently of this code), sf0.01."""
+"""Golden counts of the fixtures with every lineitem row kept, counted by DuckDB over the oracle stages, sf0.01."""
 
 import os
 
@@ -27,23 +27,23 @@ def per_haul(df, col):
 def test_default_selection(tables):
     a = pipeline.run_analysis(tables, DEFAULT)
     assert a.fld.count() == 222 and a.fld.where(F.col("effort").isNotNull()).count() == 222
-    assert a.com.count() == 592 and a.com.select("reference").distinct().count() == 222
-    assert a.len.count() == 1236
+    assert a.com.count() == 797 and a.com.select("reference").distinct().count() == 222
+    assert a.len.count() == 1571
     chck = pipeline.checked(a.com, tables["species_codes"])
     assert checks.missing_number_or_effort(chck).count() == 2
     assert checks.samples_summary(chck).count() == 31
-    assert checks.fish_by_gear_month(checks.fish_rows(chck)).count() == 142
+    assert checks.fish_by_gear_month(checks.fish_rows(chck)).count() == 147
 
 
 def test_all_hauls(tables):
     a = pipeline.run_analysis(tables, ALL_HAULS)
     assert a.fld.count() == 15000 and a.fld.where(F.col("effort").isNotNull()).count() == 12750
-    assert a.totals.count() == 38985
-    assert a.com.count() == 39242 and a.len.count() == 80014
+    assert a.totals.count() == 47174
+    assert a.com.count() == 55883 and a.len.count() == 101326
     chck = pipeline.checked(a.com, tables["species_codes"])
-    assert checks.missing_number_or_effort(chck).count() == 6095
+    assert checks.missing_number_or_effort(chck).count() == 8518
     hab = pipeline.habitat_summary(tables, ALL_HAULS)
-    assert hab.count() == 14555
+    assert hab.count() == 14651
 
 
 def test_all_hauls_distributions(tables):
@@ -56,19 +56,19 @@ def test_all_hauls_distributions(tables):
     # rows for a component is absent there, NULL in the combined table)
     b = bottom.bottom_summary(tables["habitat"], tables["codes"], keys)
     assert per_haul(b, "bottom") == {
-        "Mud": 1502, "MudSan": 916, "MudSanStr": 422, "MudSanStrUnk": 134, "MudStr": 857,
-        "MudUnk": 881, "San": 1488, "SanStr": 885, "SanStrUnk": 414, "Str": 1519,
-        "StrUnk": 874, "Unk": 1472, None: 1629}
+        "Mud": 1156, "MudSan": 930, "MudSanStr": 737, "MudSanStrUnk": 560, "MudStr": 870,
+        "MudUnk": 907, "San": 1198, "SanStr": 910, "SanStrUnk": 708, "Str": 1161,
+        "StrUnk": 909, "Unk": 1157, None: 2249}
     v = vegetation.vegetation_summary(tables["habitat"], tables["codes"], fld, keys)
     assert per_haul(v, "bveg") == {
-        "Alg": 681, "AlgNon": 76, "Non": 2291, "SAV": 5181, "SAVAlg": 1773, "SAVAlgNon": 143,
-        "SAVNon": 479, None: 2045}
+        "Alg": 462, "AlgNon": 143, "Non": 2728, "SAV": 4420, "SAVAlg": 2240, "SAVAlgNon": 411,
+        "SAVNon": 1036, None: 2223}
     assert per_haul(v, "DominantVeg") == {
-        "Algae": 1188, "Halodule": 1247, "None": 1272, "Ruppia": 1208, "SAV": 6572, "Thalassia": 1182}
+        "Algae": 1359, "Halodule": 1359, "None": 2897, "Ruppia": 1305, "SAV": 5587, "Thalassia": 1156}
     sh = shore.shore_summary(tables["habitat"], tables["codes"], fld, keys)
     assert per_haul(sh, "shore") == {
-        "Ter": 1623, "Str": 4050, "StrTer": 1965, "Eme": 1582, "EmeTer": 744, "EmeStr": 1880,
-        "EmeStrTer": 720}
+        "Ter": 1285, "Str": 3498, "StrTer": 2370, "Eme": 1293, "EmeTer": 820, "EmeStr": 2296,
+        "EmeStrTer": 1608}
 
 
 def test_enrichment_default(tables):

@@ -19,7 +19,7 @@ def test_write_outputs_csv(spark, tmpdir_path):
                           "index_check", "seagrass_check", "enriched_export"}
     com = io.read_survey_csv(spark, paths["tbm_c.csv"])
     lens = io.read_survey_csv(spark, paths["tbm_l.csv"])
-    assert com.count() == 52 and lens.count() == 103          # FIXTURES.md, default sf0.001
+    assert com.count() == 85 and lens.count() == 133          # default sf0.001, counted by DuckDB
     assert spark.read.option("header", "true").csv(paths["samples_summary"]).count() == 14
     assert com.where(F.col("species") == "NA").count() == 0    # NULL written as NA, read back as NULL
 
@@ -29,8 +29,8 @@ def test_write_outputs_parquet_is_idempotent(spark, tmpdir_path):
     p1 = pipeline.write_outputs(spark, tables, DEFAULT, tmpdir_path, fmt="parquet")
     p2 = pipeline.write_outputs(spark, tables, DEFAULT, tmpdir_path, fmt="parquet")   # a retried job
     assert p1 == p2
-    assert spark.read.parquet(p1["tbm_c.parquet"]).count() == 52
-    assert spark.read.parquet(p1["tbm_l.parquet"]).count() == 103
+    assert spark.read.parquet(p1["tbm_c.parquet"]).count() == 85
+    assert spark.read.parquet(p1["tbm_l.parquet"]).count() == 133
 
 
 def test_command_line_run(spark, tmpdir_path):
@@ -40,7 +40,7 @@ def test_command_line_run(spark, tmpdir_path):
     for name, df in fixtures.survey_tables(spark, SF).items():
         df.write.parquet(f"{src}/{schemas.TABLES[name][0]}.parquet")
     paths = cli.main(["--tables", src, "--out", f"{tmpdir_path}/out", "--format", "parquet"])
-    assert spark.read.parquet(paths["tbm_c.parquet"]).count() == 52
+    assert spark.read.parquet(paths["tbm_c.parquet"]).count() == 85
     # enrichment outputs (index and seagrass tables present); FIXTURES.md counts are for sf0.01
     assert {"index_check", "seagrass_check", "enriched_export"} <= set(paths)
     exp = spark.read.parquet(paths["enriched_export"])

@@ -11,11 +11,12 @@ import os
 import re
 from array import array
 from collections.abc import Callable
-from itertools import chain
+from itertools import chain, islice
 
 
-#: Pieces that a worker keeps; beyond it the cache is emptied and fills anew.
-MAX_PIECES = 600_000
+#: Pieces that a worker keeps; beyond it the later half goes.  The pieces met
+#: first are the frequent ones, so the half that stays serves most of a text.
+MAX_PIECES = 800_000
 
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: White space other than blank, tab and line ends, under either library's reading.
@@ -57,8 +58,10 @@ class PieceEncoder:
     def _learn(self, known: dict[str, bytes], wanted: set[str], prefix: str) -> None:
         new = list(wanted.difference(known))
         if len(known) + len(new) > MAX_PIECES:
+            kept = list(islice(known.items(), MAX_PIECES // 2))
             known.clear()
-            new = list(wanted)
+            known.update(kept)
+            new = list(wanted.difference(known))
         known.update(zip(new, self.encode_new([prefix + x for x in new] if prefix else new)))
 
     def encode(self, texts: list[str]) -> list[bytes]:

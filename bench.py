@@ -15,6 +15,7 @@ import os
 import sys
 import tempfile
 import time
+import uuid
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
@@ -27,11 +28,10 @@ from estuary.sources import fixtures, io, schemas  # noqa: E402
 
 
 def scratch_dir(spark) -> str:
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        os.makedirs(d, exist_ok=True)
-        return tempfile.mkdtemp(prefix="estuary-bench-", dir=d)
-    return tempfile.mkdtemp(prefix="estuary-bench-", dir="/tmp")
+    """A new folder name under the shared folder that the session names; a
+    temporary one only where none is set.  Spark makes the folder itself."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{base.rstrip('/')}/estuary-bench-{uuid.uuid4().hex}" if base else tempfile.mkdtemp(prefix="estuary-bench-")
 
 
 def run(df) -> None:

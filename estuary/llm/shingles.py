@@ -19,7 +19,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64."""
     if len(_POWERS[0]) < n:
-        size = max(n, 2 * len(_POWERS[0]))
+        size = n + n // 8  # slices are alike in size; a long text's powers are kept as they are
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
         for k, b in enumerate((_BASE, inverse)):
             p = np.full(size, b, dtype=np.uint64)

@@ -43,7 +43,8 @@ THRESHOLD = 0.7
 EMPTY_MARGIN = -3.0
 _LETTERS = 64
 _GAPS = [(a, b) for a in range(1, SPAN) for b in range(1, SPAN - a)]
-_MAX_WORDS = 400_000
+#: Words whose margins a task keeps; beyond it they are worked out anew.
+_MAX_WORDS = 150_000
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -88,7 +89,7 @@ def by_length(words: list[str], size: int = 4096) -> Iterator[np.ndarray]:
 
 
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Normalised kernel values of words against landmarks."""
+    """Normalised kernel values of words against landmarks, in half precision: the matrix is the driver's largest."""
     code, lengths = codes(landmarks)
     place = np.zeros(_LETTERS ** 3, dtype=np.int32)
     used = np.unique(np.concatenate([ids.ravel() for ids, _ in triples(code)]))
@@ -99,7 +100,7 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
         np.add.at(weights, (place[ids], np.arange(len(landmarks))[:, None]), w)
     weights[0] = 0
     weights /= norms(lengths).astype(np.float32)
-    out = np.zeros((len(words), len(landmarks)), dtype=np.float32)
+    out = np.zeros((len(words), len(landmarks)), dtype=np.float16)
     for chunk in by_length(words):
         code, lengths = codes([words[k] for k in chunk])
         rows = np.zeros((len(chunk), len(landmarks)), dtype=np.float32)
@@ -268,13 +269,17 @@ def fit(texts: list[str], labels: list[int]) -> Model | None:
     words = sorted(counts)
     index = {w: k for k, w in enumerate(words)}
     docs = [np.array(sorted(index[w] for w in sets[k])) for k in keep]
+    del sets, counts, index
     landmarks, telling, cut = choose_landmarks(words, docs, label)
     near = kernel(words, landmarks)
     values, vectors = np.linalg.eigh(kernel(landmarks, landmarks).astype(float))
     use = values > 1e-3
     white = vectors[:, use] / np.sqrt(values[use])
-    features = near @ white.astype(np.float32)
-    score = (near[:, :len(telling)] - cut.astype(np.float32)).max(axis=1)
+    features = np.empty((len(words), int(use.sum())), dtype=np.float32)
+    for start in range(0, len(words), 8192):
+        features[start:start + 8192] = near[start:start + 8192].astype(np.float32) @ white.astype(np.float32)
+    score = (near[:, :len(telling)].astype(np.float32) - cut.astype(np.float32)).max(axis=1)
+    del near
     toxic = [d for d, y in zip(docs, label) if y > 0 and score[d].max() > 0]
     clean = [d for d, y in zip(docs, label) if y == 0]
     if not toxic:

@@ -10,9 +10,13 @@ more.  Then the template's distinct shingles are counted exactly in the whole
 text, and a match is kept if the text holds ``SHARE`` of them.
 
 Templates are a parameter: a table (license, text) of bounded size; the
-default ones are short notices of common licences.  Words are runs of bytes
-other than blank and 0x09-0x0D, with A-Z lower-cased; a shingle is five words
-and a text of fewer is none.
+default ones are notices of common licences and the whole bodies of
+``license_texts``.  The bodies of AGPL-3.0 and of the Creative Commons licences
+other than CC-BY-SA-4.0 and CC0-1.0 are not among them, their notices are.  A
+licence whose wording holds another's (BSD-3-Clause that of BSD-2-Clause)
+matches both.  Words are runs of bytes other than blank and 0x09-0x0D, with
+A-Z lower-cased, punctuation included; a shingle is five words and a text of
+fewer is none.
 
 Defined results: null and empty texts match nothing and give no row; repeated
 rows each give their rows; equal templates both match; an empty table gives
@@ -25,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estuary.llm.common import stored, table
+from estuary.llm.license_texts import BODIES
 
 WORDS = 5
 SHARE = 0.8
@@ -32,8 +37,8 @@ BANDS = 12
 #: Templates are broadcast; more than so many characters of them are refused.
 MAX_TEMPLATE_CHARS = 4 << 20
 
-# Wordings of licence notices, as published.
-TEMPLATES = [
+# Fixed values.  Short wordings that documents use of themselves.
+SHORT = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files, to deal in the Software without restriction"),
@@ -46,6 +51,41 @@ TEMPLATES = [
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
+
+
+def _notices() -> list[tuple[str, str]]:
+    """Notices as their licences publish them.
+
+    The GNU ones are cut to the words around the licence's name and version:
+    a longer stretch is 0.8 alike from one of these licences to the next.
+    """
+    out = [(name, f"{start} under the {label} License{end}") for name, label in (("MIT", "MIT"), ("Apache-2.0", "Apache"), ("ISC", "ISC"))
+           for start in ("Licensed", "Released") for end in ("", ".", ",")]
+    out += [
+        ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated '
+                'documentation files (the "Software"), to deal in the Software without restriction'),
+        ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
+        ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
+        ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+                    "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ]
+    gnu = (("GPL-2.0", "General", ";", "2"), ("GPL-3.0", "General", ",", "3"), ("LGPL-2.1", "Lesser General", ";", "2.1"),
+           ("LGPL-3.0", "Lesser General", ",", "3"), ("AGPL-3.0", "Affero General", ",", "3"))
+    for name, label, sign, version in gnu:
+        out.append((name, f"the terms of the GNU {label} Public License as published by the Free Software Foundation{sign} either version {version} of the License"))
+        out += [(name, f"GNU {label} Public License{comma} version {version}{end}") for comma in ("", ",") for end in ("", ".", ",")]
+    out.append(("GPL-2.0", "the terms of the GNU General Public License as published by the Free Software Foundation; version 2 of the License"))
+    for tail, label in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC", "Attribution-NonCommercial"),
+                        ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+        out += [(f"CC-{tail}-4.0", f"licensed under {word} Creative Commons {label} 4.0 International License{end}") for word in ("a", "the") for end in ("", ".")]
+        out += [(f"CC-{tail}-3.0", f"licensed under {word} Creative Commons {label.replace('NoDerivatives', 'NoDerivs')} 3.0 Unported License{end}")
+                for word in ("a", "the") for end in ("", ".")]
+        out += [(f"CC-{tail}-{v}", f"licensed under CC {tail} {v}{end}") for v in ("4.0", "3.0") for end in ("", ".", ",")]
+    return out
+
+
+#: A template's number is its place; new ones go to the end of their list.
+TEMPLATES = SHORT + _notices() + BODIES
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -96,12 +136,14 @@ def retrieved(docs: DataFrame, known: DataFrame) -> DataFrame:
     signs = longs(sorted({r.x for r in rows}))
     # a generator keeps the filter from being moved below, and the shingles from being made twice
     near = docs.select("doc_id", F.explode(F.expr(let(shingle_hashes("text"), "s", f"CASE WHEN arrays_overlap(s, {signs}) THEN array(s) ELSE array() END"))).alias("s"))
-    near = stored(near.withColumn("at", F.expr(f"filter(transform(s, (x, i) -> CASE WHEN array_contains({signs}, x) THEN i END), i -> i IS NOT NULL)")),
+    near = stored(near.withColumn("at", F.expr(f"filter(transform(s, (x, i) -> CASE WHEN array_contains({signs}, x) THEN struct(i AS i, x AS x) END), p -> p IS NOT NULL)")),
                   "license_candidates")
     parts = []
     for m in sorted({r.m for r in rows}):
         step = max(1, m // 4)
-        starts = (f"array_distinct(flatten(transform(at, p -> transform(sequence(greatest(0, -((-(p - {m} + 1)) div {step})), greatest(0, p div {step})), "
+        mine = longs(sorted({r.x for r in rows if r.m == m}))
+        places = f"transform(filter(at, q -> array_contains({mine}, q.x)), q -> q.i)"  # signs of templates of this size only
+        starts = (f"array_distinct(flatten(transform({places}, p -> transform(sequence(greatest(0, -((-(p - {m} + 1)) div {step})), greatest(0, p div {step})), "
                   f"k -> int(k * {step} + 1)))))")
         keys = ", ".join(band("z", b) for b in range(BANDS))
         ours = sorted({(r.b, r.key, r.template) for r in rows if r.m == m})

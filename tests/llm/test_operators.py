@@ -364,6 +364,43 @@ def test_licences_equal_exact_containment(spark, odd):
     assert licenses.scan(odd).count() == 0 and licenses.scan(odd.where("false")).count() == 0
 
 
+PUBLISHED = [
+    ("""MIT License\n\nCopyright (c) 2021 Jane Doe\n\nPermission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including""", {"MIT"}),
+    ("""Copyright 2020 The Authors\n\nLicensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in
+compliance with the License.\nYou may obtain a copy of the License at""", {"Apache-2.0"}),
+    ("""This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.""", {"GPL-3.0"}),
+    ("""This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.""", {"GPL-2.0"}),
+    ("""This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.""", {"LGPL-2.1"}),
+    ("""it under the terms of the GNU Affero General Public License as\npublished by the Free Software Foundation, either version 3 of the
+License, or (at your option) any later version.""", {"AGPL-3.0"}),
+    ("Some prose of no matter. Licensed under CC BY-NC 4.0.", {"CC-BY-NC-4.0"}),
+    ("This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License. To view a copy", {"CC-BY-SA-4.0"}),
+    ("""Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that
+the above\ncopyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF\nMERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES\nWHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF\nOR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""", {"ISC"}),
+    ("A public license of the general kind, version 3, was never granted to any person.", set()),
+]
+
+
+def test_published_licences(spark):
+    """Published notices in their own lines; and a body found within other prose, by its own number."""
+    bodies = [k for k in range(len(licenses.TEMPLATES)) if len(licenses.TEMPLATES[k][1]) > 5000]
+    rows = [(i, t) for i, (t, _) in enumerate(PUBLISHED)] + [(1000 + k, "before it " * 40 + licenses.TEMPLATES[k][1] + " after it" * 40) for k in bodies]
+    found, numbers = defaultdict(set), defaultdict(set)
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found[r.doc_id].add(r.license)
+        numbers[r.doc_id].add(r.template)
+    assert [found[i] for i in range(len(PUBLISHED))] == [want for _, want in PUBLISHED]
+    assert {licenses.TEMPLATES[k][0] for k in bodies} >= {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "CC-BY-SA-4.0"}
+    assert all(k in numbers[1000 + k] for k in bodies)
+
+
 # ---------------------------------------------------------------- nearest neighbours
 
 def test_neighbours_recall_and_odd_rows(spark):

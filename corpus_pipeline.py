@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from estuary.llm import near_dedup, packing, pii, suffix_dedup, toxicity
 from estuary.llm.common import fresh, stored, table
 
+#: Shingle similarity of near duplicates, in percent; op4_minhash_dedup's own 85 is that query's.
+NEAR_PERCENT = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score stays below the threshold; trained on the labels outside the held-out fold."""
@@ -24,7 +27,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of every group of near duplicates; documents without words or id stay."""
-    found = near_dedup.near_groups(docs)
+    found = near_dedup.near_groups(docs, NEAR_PERCENT)
     gone = stored(found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct(), "near_gone")
     other = gone.withColumnRenamed("_gone", fresh("_gone", docs.columns))
     left = docs.join(other, docs["doc_id"] == other[other.columns[0]], "left_anti")

@@ -1,8 +1,8 @@
 """Operator 4: near-duplicate groups by MinHash with tensored banding.
 
-Two groups of ``SIDE`` small collections of ``ROWS`` minhashes each are drawn;
+Two groups of ``side`` small collections of ``ROWS`` minhashes each are drawn;
 every pair with one collection from either group is the key of a table, so
-``SIDE**2`` tables of ``2 * ROWS`` rows cost only ``2 * SIDE * ROWS``
+``side**2`` tables of ``2 * ROWS`` rows cost only ``2 * side * ROWS``
 minhashes.  Texts of equal shingle sets are one class from the start.  Tables
 link each class to the smallest class of its bucket; the components of these
 links are blocks that hold every candidate pair.  Blocks are cut into cells
@@ -11,9 +11,10 @@ a task of its own: a bucket of any size spreads over tasks of bounded size,
 and all its pairs are verified without becoming rows.  The verified links,
 one spanning forest for each task, are contracted to the final groups.
 
-At the threshold of 0.85 a pair meets in a table with probability over
-0.9989, and near 1 beyond 0.9; pairs that meet in a block by way of others
-are verified too.
+``side`` is the least for which a pair at the threshold meets in a table with
+probability ``MEET`` under independent hashes (12 at 80 percent, where 0.9994 of
+12,000 pairs met), near 1 well beyond it; op 4 takes 8 at 85 percent (0.9990 of
+12,000 pairs).  Pairs that meet in a block by way of others are verified too.
 
 Defined results: a null text, or one without words, has the empty set, is
 linked with nothing and is its own component; where an id repeats, each row
@@ -24,6 +25,7 @@ Only the id and text columns are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,23 +39,32 @@ from estuary.llm.graphs import components
 from estuary.llm.shingles import WORDS, mix, shingle_sets
 
 PERCENT = 85
-SIDE, ROWS = 8, 3
+ROWS, MEET = 3, 0.9993
 CELL = 192
 
 
-def _hash_family() -> tuple[np.ndarray, np.ndarray]:
+def side_for(percent: int) -> int:
+    """Collections in a group: both groups must have one that a pair at the threshold shares."""
+    if percent <= 0:
+        raise ValueError("the threshold must be above 0 percent")
+    if percent >= 100:
+        return 1
+    return math.ceil(math.log(1 - math.sqrt(MEET)) / math.log(1 - (percent / 100) ** ROWS))
+
+
+def _hash_family(side: int) -> tuple[np.ndarray, np.ndarray]:
     """Odd multipliers and offsets of the minhash functions, from a fixed rule."""
-    seeds = mix(np.arange(1, 4 * SIDE * ROWS + 1, dtype=np.uint64))
+    seeds = mix(np.arange(1, 4 * side * ROWS + 1, dtype=np.uint64))
     return seeds[::2] | np.uint64(1), seeds[1::2]
 
 
-def half_keys(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of ``2 * SIDE`` half keys for each non-empty set."""
+def half_keys(sets: list[np.ndarray], side: int) -> np.ndarray:
+    """A row of ``2 * side`` half keys for each non-empty set."""
     flat = np.concatenate(sets)
     starts = np.cumsum([0, *(len(s) for s in sets[:-1])])
-    a, b = _hash_family()
-    halves = np.empty((len(sets), 2 * SIDE), dtype=np.uint64)
-    for k in range(2 * SIDE):
+    a, b = _hash_family(side)
+    halves = np.empty((len(sets), 2 * side), dtype=np.uint64)
+    for k in range(2 * side):
         key = np.full(len(sets), k, dtype=np.uint64)
         for j in range(k * ROWS, (k + 1) * ROWS):
             value = flat * a[j] + b[j]
@@ -63,16 +74,16 @@ def half_keys(sets: list[np.ndarray]) -> np.ndarray:
     return halves
 
 
-def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def signatures(docs: DataFrame, side: int, words: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, set1, set2, halves): a 128-bit set hash and the half keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             sets = shingle_sets(bytes_of(batch), words)
             full = [k for k, s in enumerate(sets) if len(s)]
-            halves, lengths = np.zeros((0, 2 * SIDE), dtype=np.uint64), np.zeros(len(sets), dtype=np.int64)
+            halves, lengths = np.zeros((0, 2 * side), dtype=np.uint64), np.zeros(len(sets), dtype=np.int64)
             if full:
-                halves = half_keys([sets[k] for k in full])
-                lengths[full] = 2 * SIDE
+                halves = half_keys([sets[k] for k in full], side)
+                lengths[full] = 2 * side
             sums = [pa.array(np.array([mix(s + np.uint64(salt)).sum(dtype=np.uint64) for s in sets], dtype=np.uint64).view(np.int64))
                     for salt in (0x51, 0xA7C3)]
             yield pa.RecordBatch.from_arrays(
@@ -83,11 +94,11 @@ def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, set1 bigint, set2 bigint, halves array<bigint>")
 
 
-def candidate_links(classes: DataFrame) -> DataFrame:
+def candidate_links(classes: DataFrame, side: int) -> DataFrame:
     """Links (u, v) of each class to the smallest class of each of its buckets."""
     keys = classes.select("rep", F.explode(F.expr(
-        f"flatten(transform(sequence(0, {SIDE - 1}), i -> transform(sequence(0, {SIDE - 1}),"
-        f" j -> xxhash64(halves[i], halves[{SIDE} + j], i * {SIDE} + j))))")).alias("key"))
+        f"flatten(transform(sequence(0, {side - 1}), i -> transform(sequence(0, {side - 1}),"
+        f" j -> xxhash64(halves[i], halves[{side} + j], i * {side} + j))))")).alias("key"))
     heads = keys.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("tail")).where("head <> tail")
     return keys.join(heads.select("key", "head"), "key").where("rep <> head").select(
         F.col("rep").alias("u"), F.col("head").alias("v"))
@@ -172,15 +183,16 @@ def with_sets(docs: DataFrame, nodes: DataFrame, words: int = WORDS) -> DataFram
 
 
 def near_groups(docs: DataFrame, percent: int = PERCENT, words: int = WORDS,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                id_col: str = "doc_id", text_col: str = "text", side: int | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = stored(signatures(rows, words), "signatures")
+    side = side or side_for(percent)
+    signed = stored(signatures(rows, side, words), "signatures")
     # a class's half keys are equal in all its rows
     classes = stored(signed.where("n_shingles > 0").groupBy("set1", "set2").agg(
         F.min("doc_id").alias("rep"), F.first("halves").alias("halves")), "classes")
-    blocks = stored(components(candidate_links(classes.where("rep is not null"))), "blocks")
+    blocks = stored(components(candidate_links(classes.where("rep is not null"), side)), "blocks")
     units = stored(cells(blocks), "cells")
     sets = with_sets(rows, blocks, words)
     links = stored(verified_links(units.join(sets, "node"), percent), "verified")
@@ -193,7 +205,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, words: int = WORDS,
 
 
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_groups(table(spark, sf_dir, "documents"))
+    return near_groups(table(spark, sf_dir, "documents"), percent=85, side=8)
 
 
 #: A-Z are lowered by hand: lower() would change other letters too.

@@ -1,16 +1,16 @@
 """Operator 3: personal data, and the terms that give it away (DataFrame functions only).
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers.  Each
-distinct value is a protected entity.  Terms in the ``CONTEXT`` code points
-around an entity co-occur with it; over the whole corpus, counted in
-documents, a term discloses an entity if
+distinct value is a protected entity.  Terms outside base spans co-occur with
+every entity of their document, however far off; over the whole corpus, counted
+in documents, a term discloses an entity if
 
 * ``n(t, e) >= MIN_SUPPORT`` documents show both together,
 * ``n(t, e) / n(t) >= MIN_SHARE``: who meets the term mostly meets the entity,
 * ``log2(n(t, e) N / (n(t) n(e))) >= MIN_BITS`` bits of information.
 
-Such terms are spans of kind ``term`` wherever they stand near that entity;
-``sanitised`` puts a kind's name for each span.
+Such terms are spans of kind ``term`` wherever they stand outside base spans, in
+every document, with that entity or without it; ``sanitised`` puts a kind's name for each span.
 
 Defined results: a null or empty text has no spans (and stays as it is);
 repeated rows count as documents of their own and get equal spans; null ids
@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from estuary.llm.common import fresh, stored, table
 
 KINDS = ("email", "ip", "card", "phone")
-CONTEXT = 64
 MIN_SUPPORT, MIN_SHARE, MIN_BITS = 2, 0.5, 3.0
 
 # Possessive loops run without recursion on texts of any length; the look-behinds
@@ -44,6 +43,7 @@ PATTERNS = {
 _BYTE = "0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 TERM = r"(?<![\p{L}\p{N}])\p{L}[\p{L}\p{N}]{3,}+"
 SPAN_TYPE = "array<struct<s:int,e:int,v:string>>"
+PLACE_TYPE, BLOCK = "array<struct<s:int,e:int,h:bigint>>", 256
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -96,71 +96,98 @@ def entity(kind: str, v: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), F.lower(v) if kind == "email" else v if kind == "ip" else digits(v))
 
 
-def found_in(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, h, one array of spans for each kind, near): with the contexts around every span."""
+def words_at(text: Column) -> Column:
+    """Start, end and hash of every term of a text, in order; summed up in blocks, as each step copies its list."""
+    found = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    pairs = F.zip_with(F.slice(F.split(text, TERM, -1), F.lit(1), F.size(found)), found, lambda g, m: F.struct(
+        F.length(g).alias("g"), F.length(m).alias("n"), F.xxhash64(F.lower(m)).alias("h")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(PLACE_TYPE).alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        s = acc["at"] + x["g"]
+        e = s + x["n"]
+        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["h"].alias("h")))).alias("out"))
+
+    def after(acc: Column, b: Column) -> Column:
+        moved = F.transform(b["out"], lambda x: F.struct((x["s"] + acc["at"]).alias("s"), (x["e"] + acc["at"]).alias("e"), x["h"].alias("h")))
+        return F.struct((acc["at"] + b["at"]).alias("at"), F.concat(acc["out"], moved).alias("out"))
+
+    def placed(p: Column) -> Column:
+        last = F.greatest(F.floor((F.size(p) - 1) / BLOCK).cast("int"), F.lit(0))
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda k: F.aggregate(F.slice(p, k * BLOCK + 1, F.lit(BLOCK)), start, step))
+        return F.aggregate(blocks, start, after, lambda acc: acc["out"])
+
+    return F.transform(F.array(pairs), placed)[0]  # evaluates the pairs once
+
+
+def outside(words: Column, spans: Column) -> Column:
+    return F.filter(words, lambda x: ~F.exists(spans, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, h, t): h is the text's hash, and null texts are empty."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), text.alias("t"))
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), text.alias("t"))
+
+
+def found_in(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, h, one array of spans for each kind, entities, shown): hashes of the entities, and of the terms if there are entities."""
+    rows = keyed(docs, id_col, text_col)
     rows = rows.select("*", *(base_spans(k, F.col("t")).alias(k) for k in KINDS))
-    t = F.col("t")
 
-    def context(kind: str, x: Column) -> Column:
-        begin = F.greatest(x["s"] - CONTEXT, F.lit(0))
-        return F.struct(entity(kind, x["v"]).alias("entity"), begin.alias("begin"), t.substr(begin + 1, x["s"] - begin).alias("left"),
-                        x["e"].alias("end"), t.substr(x["e"] + 1, F.lit(CONTEXT)).alias("right"))
+    def hashed(kind: str, x: Column) -> Column:
+        return F.xxhash64(entity(kind, x["v"]))
 
-    near = F.concat(*(F.transform(k, partial(context, k)) for k in KINDS))
+    entities = F.array_distinct(F.concat(*(F.transform(k, partial(hashed, k)) for k in KINDS)))
     slim = [F.transform(k, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias(k) for k in KINDS]
-    return rows.select("id", "h", *slim, near.alias("near"))
+    rows = rows.select("id", "h", "t", *slim, entities.alias("entities"))
+    shown = F.array_distinct(F.transform(outside(words_at(F.col("t")), F.concat(*KINDS)), lambda x: x["h"]))
+    return rows.select("id", "h", *KINDS, "entities", F.when(F.size("entities") > 0, shown).otherwise(F.array().cast("array<bigint>")).alias("shown"))
 
 
-def context_terms(found: DataFrame) -> DataFrame:
-    """(id, h, entity, term, s, e): terms wholly inside a context and outside base spans."""
-    spans = F.concat(*KINDS)
-    one = found.where(F.size("near") > 0).select("id", "h", spans.alias("spans"), F.explode("near").alias("n"))
-    left = F.transform(F.filter(matches(F.col("n.left"), TERM), lambda x: (x["s"] > 0) | (F.col("n.begin") == 0)),
-                       lambda x: F.struct((x["s"] + F.col("n.begin")).alias("s"), (x["e"] + F.col("n.begin")).alias("e"), x["v"].alias("v")))
-    right = F.transform(F.filter(matches(F.col("n.right"), TERM), lambda x: x["e"] < CONTEXT),
-                        lambda x: F.struct((x["s"] + F.col("n.end")).alias("s"), (x["e"] + F.col("n.end")).alias("e"), x["v"].alias("v")))
-    terms = one.select("id", "h", "spans", F.col("n.entity").alias("entity"), F.explode(F.concat(left, right)).alias("x"))
-    outside = ~F.exists("spans", lambda b: (b["s"] < F.col("x.e")) & (F.col("x.s") < b["e"]))
-    return terms.where(outside).select("id", "h", "entity", F.lower("x.v").alias("term"), "x.s", "x.e")
+def term_hashes(text: Column) -> Column:
+    """Distinct hashes of a text's terms."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(F.lower(w))))
 
 
 def term_counts(docs: DataFrame, text_col: str) -> DataFrame:
     """(th, nt): documents that hold each term, by its 64-bit hash."""
-    words = F.regexp_extract_all(F.lower(text_col), F.lit(TERM), F.lit(0))
-    hashes = F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
-    return docs.select(F.explode(hashes).alias("th")).groupBy("th").agg(F.count(F.lit(1)).alias("nt"))
-
-
-def disclosing(docs: DataFrame, found: DataFrame, text_col: str) -> DataFrame:
-    """(id, h, terms): spans of the terms that disclose an entity near them."""
-    near = stored(context_terms(found), "context_terms")
-    # repeated rows are documents of their own: each row of `found` counts
-    rows = found.where(F.size("near") > 0).groupBy("id", "h").agg(F.count(F.lit(1)).alias("copies"))
-    met = near.select("id", "h", "entity", "term").distinct().join(
-        rows.withColumnRenamed("id", "rid").withColumnRenamed("h", "rh"), F.col("id").eqNullSafe(F.col("rid")) & (F.col("h") == F.col("rh")))
-    pairs = stored(met.groupBy("entity", "term").agg(F.sum("copies").alias("nte")).where(F.col("nte") >= MIN_SUPPORT)
-                   .withColumn("th", F.xxhash64("term")), "term_pairs")
-    holders = found.where(F.size("near") > 0).select(F.explode(F.array_distinct(F.transform("near", lambda n: n["entity"]))).alias("entity"))
-    entities = stored(holders.groupBy("entity").agg(F.count(F.lit(1)).alias("ne")), "entities")
-    counts = term_counts(docs, text_col)
+    return docs.select(F.explode(term_hashes(F.col(text_col))).alias("th")).groupBy("th").agg(F.count(F.lit(1)).alias("nt"))
+
+
+def telling_terms(docs: DataFrame, found: DataFrame, text_col: str) -> DataFrame:
+    """(th): hashes of the terms that disclose an entity; repeated rows are documents of their own."""
+    held = found.where(F.size("entities") > 0)
+    pairs = stored(held.select(F.explode("entities").alias("entity"), "shown").select("entity", F.explode("shown").alias("th"))
+                   .groupBy("entity", "th").agg(F.count(F.lit(1)).alias("nte")).where(F.col("nte") >= MIN_SUPPORT), "term_pairs")
+    entities = stored(held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("ne")), "entities")
+    counts = term_counts(docs, text_col).where(F.col("nt") >= MIN_SUPPORT)
     total = found.count()
     bits = F.log2(F.col("nte") * F.lit(float(total)) / (F.col("nt") * F.col("ne")))
-    telling = stored(counts.join(pairs, "th").join(entities, "entity").where(
-        (F.col("nte") >= MIN_SHARE * F.col("nt")) & (bits >= MIN_BITS)).select("entity", "term"), "disclosing")
-    return near.join(telling, ["entity", "term"]).groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("terms"))
+    return stored(counts.join(pairs, "th").join(entities, "entity").where(
+        (F.col("nte") >= MIN_SHARE * F.col("nt")) & (bits >= MIN_BITS)).select("th").distinct(), "disclosing")
+
+
+def disclosing(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, h, terms): where telling terms stand, in every text that holds any; one row for repeated ones."""
+    telling = telling_terms(docs, found, text_col)
+    texts = keyed(docs, id_col, text_col)
+    hits = stored(texts.select("id", "h", F.explode(term_hashes(F.col("t"))).alias("th")).join(telling, "th")
+                  .groupBy("id", "h").agg(F.collect_set("th").alias("ths")), "term_hits").select(F.col("id").alias("hid"), F.col("h").alias("hh"), "ths")
+    both = texts.join(hits, F.col("id").eqNullSafe(F.col("hid")) & (F.col("h") == F.col("hh")))
+    here = F.filter(words_at(F.col("t")), lambda x: F.array_contains(F.col("ths"), x["h"]))
+    return both.select("id", "h", F.transform(here, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias("terms")).dropDuplicates(["id", "h"])
 
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, h, email, ip, card, phone, term) for every row; h is the text's hash."""
     found = stored(found_in(docs, id_col, text_col), "pii")
-    terms = disclosing(docs, found, text_col)
+    terms = disclosing(docs, found, id_col, text_col)
     nothing = F.array().cast("array<struct<s:int,e:int>>")
-    return found.drop("near").alias("f").join(
+    return found.drop("entities", "shown").join(
         terms.select(F.col("id").alias("tid"), F.col("h").alias("th"), "terms"),
         F.col("id").eqNullSafe(F.col("tid")) & (F.col("h") == F.col("th")), "left").select(
-        "id", "h", *KINDS, F.coalesce("terms", nothing).alias("term"))
+        "id", "h", *KINDS, outside(F.coalesce("terms", nothing), F.concat(*KINDS)).alias("term"))
 
 
 def written(*kinds: str) -> Column:

@@ -302,6 +302,22 @@ def test_disclosing_terms(spark):
     assert texts == ["[TERM] [TERM] today at [EMAIL] number 0x"]
 
 
+def terms_by_id(spark, rows):
+    text = dict(rows)
+    out = pii.detect(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return {r.id: [text[r.id][s:e] for s, e in r.term] for r in out}
+
+
+def test_disclosing_terms_far_off_and_alone(spark):
+    """A term 2,000 words from its entity counts, and is found where the entity is not."""
+    far = "plain words here " * 700
+    rows = [(i, f"Zebulon wrote. {far} mail q@x.org") for i in range(3)] + [(3, f"{far} q@x.org {far} zebulon"), (4, "ask Zebulon, or zebulon again")]
+    rows += [(10 + i, "ask plain words here wrote mail again or") for i in range(60)]
+    got = terms_by_id(spark, rows)
+    assert all("Zebulon" in got[i] for i in range(3)) and got[3] == ["zebulon"] and got[4] == ["Zebulon", "zebulon"]
+    assert all(not got[10 + i] for i in range(60))
+
+
 def test_pii_odd(odd):
     rows = pii.sanitised(odd).collect()
     assert len(rows) == len(ODD) and [r.text for r in rows if r.doc_id == 2] == [None]

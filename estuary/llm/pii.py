@@ -9,6 +9,8 @@ in documents, a term discloses an entity if
 * ``n(t, e) / n(t) >= MIN_SHARE``: who meets the term mostly meets the entity,
 * ``log2(n(t, e) N / (n(t) n(e))) >= MIN_BITS`` bits of information.
 
+A term is a whole run of letters and digits of any length, in any script; only
+the six function words of ``NOT_TERMS`` are none.
 Such terms are spans of kind ``term`` wherever they stand outside base spans, in
 every document, with that entity or without it; ``sanitised`` puts a kind's name for each span.
 
@@ -41,7 +43,8 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 _BYTE = "0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-TERM = r"(?<![\p{L}\p{N}])\p{L}[\p{L}\p{N}]{3,}+"
+TERM = r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++"
+NOT_TERMS = ("and", "at", "by", "for", "of", "the")  # in any case; no one's name or number
 SPAN_TYPE = "array<struct<s:int,e:int,v:string>>"
 PLACE_TYPE, BLOCK = "array<struct<s:int,e:int,h:bigint>>", 256
 
@@ -161,7 +164,7 @@ def telling_terms(docs: DataFrame, found: DataFrame, text_col: str) -> DataFrame
     pairs = stored(held.select(F.explode("entities").alias("entity"), "shown").select("entity", F.explode("shown").alias("th"))
                    .groupBy("entity", "th").agg(F.count(F.lit(1)).alias("nte")).where(F.col("nte") >= MIN_SUPPORT), "term_pairs")
     entities = stored(held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("ne")), "entities")
-    counts = term_counts(docs, text_col).where(F.col("nt") >= MIN_SUPPORT)
+    counts = term_counts(docs, text_col).where((F.col("nt") >= MIN_SUPPORT) & ~F.col("th").isin(*(F.xxhash64(F.lit(w)) for w in NOT_TERMS)))
     total = found.count()
     bits = F.log2(F.col("nte") * F.lit(float(total)) / (F.col("nt") * F.col("ne")))
     return stored(counts.join(pairs, "th").join(entities, "entity").where(

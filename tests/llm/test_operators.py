@@ -318,6 +318,13 @@ def test_disclosing_terms_far_off_and_alone(spark):
     assert all(not got[10 + i] for i in range(60))
 
 
+def test_disclosing_terms_of_any_length(spark):
+    rows = [(i, f"{name} at {address}") for i, (name, address) in enumerate(
+        [("Ann", "a1@x.org"), ("Li", "b1@y.org"), ("\u91d1\u79c0", "c1@z.org"), ("7734ab", "d1@v.org")] * 2)]
+    got = terms_by_id(spark, rows + [(100 + i, "nothing of note") for i in range(60)])
+    assert [got[i] for i in range(8)] == [["Ann"], ["Li"], ["\u91d1\u79c0"], ["7734ab"]] * 2
+
+
 def test_pii_odd(odd):
     rows = pii.sanitised(odd).collect()
     assert len(rows) == len(ODD) and [r.text for r in rows if r.doc_id == 2] == [None]

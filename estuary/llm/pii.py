@@ -7,7 +7,11 @@ in documents, a term discloses an entity if
 
 * ``n(t, e) >= MIN_SUPPORT`` documents show both together,
 * ``n(t, e) / n(t) >= MIN_SHARE``: who meets the term mostly meets the entity,
-* ``log2(n(t, e) N / (n(t) n(e))) >= MIN_BITS`` bits of information.
+* its bits of information ``log2(n(t, e) N / (n(t) n(e)))`` are ``MIN_PART`` of
+  the entity's own ``log2(N / n(e))``, which bounds them, or more: an entity in a
+  third of all documents has 1.58 bits only;
+* over the documents that show both they add up to ``MIN_SUPPORT * MIN_BITS``, so
+  that rare words beside a frequent entity by chance do not count.
 
 A term is a whole run of letters and digits of any length, in any script; only
 the six function words of ``NOT_TERMS`` are none.
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 from estuary.llm.common import fresh, stored, table
 
 KINDS = ("email", "ip", "card", "phone")
-MIN_SUPPORT, MIN_SHARE, MIN_BITS = 2, 0.5, 3.0
+MIN_SUPPORT, MIN_SHARE, MIN_BITS, MIN_PART = 2, 0.5, 3.0, 0.5
 
 # Possessive loops run without recursion on texts of any length; the look-behinds
 # try each run of characters once, at its start or where the last match ended.
@@ -166,9 +170,10 @@ def telling_terms(docs: DataFrame, found: DataFrame, text_col: str) -> DataFrame
     entities = stored(held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("ne")), "entities")
     counts = term_counts(docs, text_col).where((F.col("nt") >= MIN_SUPPORT) & ~F.col("th").isin(*(F.xxhash64(F.lit(w)) for w in NOT_TERMS)))
     total = found.count()
+    own = F.log2(F.lit(float(total)) / F.col("ne"))
     bits = F.log2(F.col("nte") * F.lit(float(total)) / (F.col("nt") * F.col("ne")))
     return stored(counts.join(pairs, "th").join(entities, "entity").where(
-        (F.col("nte") >= MIN_SHARE * F.col("nt")) & (bits >= MIN_BITS)).select("th").distinct(), "disclosing")
+        (F.col("nte") >= MIN_SHARE * F.col("nt")) & (bits >= MIN_PART * own) & (F.col("nte") * bits >= MIN_SUPPORT * MIN_BITS)).select("th").distinct(), "disclosing")
 
 
 def disclosing(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -325,6 +325,14 @@ def test_disclosing_terms_of_any_length(spark):
     assert [got[i] for i in range(8)] == [["Ann"], ["Li"], ["\u91d1\u79c0"], ["7734ab"]] * 2
 
 
+def test_disclosing_terms_of_a_hot_entity(spark):
+    """An entity in a third of the rows: a term beside it alone is found, a word spread evenly is not."""
+    rows = [(i, f"{'Quorl' if i < 8 else 'and'} sent {'even' if i % 2 else 'odd'} mail x@y.org") for i in range(20)]
+    rows += [(100 + i, f"sent {'even' if i % 2 else 'odd'} mail") for i in range(40)]
+    got = terms_by_id(spark, rows)
+    assert all(got[i] == (["Quorl"] if i < 8 else []) for i in range(20)) and not any(got[100 + i] for i in range(40))
+
+
 def test_pii_odd(odd):
     rows = pii.sanitised(odd).collect()
     assert len(rows) == len(ODD) and [r.text for r in rows if r.doc_id == 2] == [None]

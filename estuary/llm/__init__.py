@@ -1,5 +1,6 @@
 """Training-data operators: token output, BPE, PII, deduplication,
-fingerprints, licence scans, nearest neighbours, toxicity and packing.
+fingerprints, licence scans, nearest neighbours, toxicity, packing, Merkle
+manifests, secret scans and conversation tries.
 
 Every operator takes DataFrames and returns DataFrames; nothing outside this
 subpackage imports it.

@@ -3,11 +3,15 @@
 Base spans are assignments to names like ``password``, access keys and long
 hexadecimal runs.  Two first-order Markov models of characters are trained on
 labelled samples: runs of ``SYMBOLS`` from the values of base spans are
-random strings, all other runs of ``MIN_SAMPLE`` characters or more are ordinary identifiers.
+random strings, runs of ``MIN_SAMPLE`` to ``MIN_RUN - 1`` characters outside
+them are ordinary identifiers.  Longer runs are what is judged, so they train
+neither model: a key that no pattern finds does not pass as ordinary.
 A run of ``MIN_RUN`` characters or more outside base spans is a span of kind
 ``markov`` if the random model makes it ``MIN_BITS`` bits likelier than the
 ordinary one, its first character included.  Counts cover all samples of all
-documents and are smoothed by one, so without samples a model is uniform.
+documents; a character after another is smoothed towards the character's
+own frequency, and that towards the uniform one, so a context that ordinary
+identifiers never show counts against them, and without samples a model is uniform.
 The model is a table of character pairs whose size the alphabet fixes.
 
 Defined results: a null or empty text has no spans; an empty table gives no
@@ -33,6 +37,7 @@ SYMBOLS = string.ascii_letters + string.digits + "+/_.=-"
 _RUN = "[A-Za-z0-9+/_.=-]"
 KINDS = ("assign", "access", "hex")
 MIN_SAMPLE, MIN_RUN, MIN_BITS = 8, 16, 24.0
+PRIOR = 16.0  # characters of the frequencies alone that each context is given
 _ORIGIN, _WIDTH = 42, 81  # code points 43 to 122 hold all symbols; 0 stands for the start of a run
 
 # Possessive loops need no backtracking: nothing behind them could take what they took.
@@ -50,9 +55,8 @@ def base_spans(kind: str, text: Column) -> Column:
     return F.filter(matches(text, PATTERNS[kind]), lambda x: F.length(secret(kind, x["v"])) >= least)
 
 
-def runs(text: Column, least: int, base: Column) -> Column:
-    """Whole runs of symbols, ``least`` or more, outside the base spans."""
-    return outside(matches(text, rf"(?<!{_RUN}){_RUN}{{{least},}}+"), base)
+_SAMPLE = rf"(?<!{_RUN}){_RUN}{{{MIN_SAMPLE},{MIN_RUN - 1}}}+(?!{_RUN})"
+_JUDGED = rf"(?<!{_RUN}){_RUN}{{{MIN_RUN},}}+"
 
 
 def pairs(run: Column) -> Column:
@@ -80,8 +84,9 @@ def labelled_samples(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return F.struct(F.lit(True).alias("random"), secret(kind, x["v"]).alias("run"))
 
     values = F.concat(*(F.transform(k, partial(value, k)) for k in KINDS))
-    words = F.regexp_extract_all("t", F.lit(rf"(?<!{_RUN}){_RUN}{{{MIN_SAMPLE},}}+"), F.lit(0))
-    others = F.when(F.size(places(*KINDS)) == 0, words).otherwise(F.transform(runs(F.col("t"), MIN_SAMPLE, places(*KINDS)), lambda x: x["v"]))
+    words = F.regexp_extract_all("t", F.lit(_SAMPLE), F.lit(0))
+    free = F.transform(outside(matches(F.col("t"), _SAMPLE), places(*KINDS)), lambda x: x["v"])
+    others = F.when(F.size(places(*KINDS)) == 0, words).otherwise(free)
     other = F.transform(others, lambda v: F.struct(F.lit(False).alias("random"), v.alias("run")))
     return rows.select(F.explode(F.concat(values, other)).alias("x")).select("x.random", "x.run")
 
@@ -95,12 +100,16 @@ def train(samples: DataFrame) -> list[float]:
     counted = samples.select("random", F.explode(pairs(F.col("run"))).alias("pair")).groupBy("random", "pair").agg(F.count(F.lit(1)).alias("n"))
     counts = {(r["random"], r["pair"]): r["n"] for r in counted.collect()}
     codes = [ord(c) - _ORIGIN for c in SYMBOLS]
+    seen = {(label, a, b): counts.get((label, a * _WIDTH + b), 0) for label in (True, False) for a in (0, *codes) for b in codes}
     bits = [0.0] * (_WIDTH * _WIDTH)
-    for a in (0, *codes):
-        total = [sum(counts.get((label, a * _WIDTH + b), 0) for b in codes) + len(codes) for label in (True, False)]
-        for b in codes:
-            n = [counts.get((label, a * _WIDTH + b), 0) + 1 for label in (True, False)]
-            bits[a * _WIDTH + b] = math.log2(n[0] / total[0]) - math.log2(n[1] / total[1])
+    for label, sign in ((True, 1.0), (False, -1.0)):
+        column = {b: sum(seen[label, a, b] for a in (0, *codes)) for b in codes}
+        every = sum(column.values())
+        for a in (0, *codes):
+            after = sum(seen[label, a, b] for b in codes)
+            for b in codes:
+                alone = (column[b] + 1) / (every + len(codes))
+                bits[a * _WIDTH + b] += sign * math.log2((seen[label, a, b] + PRIOR * alone) / (after + PRIOR))
     return bits
 
 
@@ -113,7 +122,7 @@ def likelihood_ratio(run: Column, model: list[float]) -> Column:
 def detect(docs: DataFrame, model: list[float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, assign, access, hex, markov): arrays of spans for every row."""
     rows = with_base(docs, id_col, text_col)
-    found = F.filter(runs(F.col("t"), MIN_RUN, places(*KINDS)), lambda x: likelihood_ratio(x["v"], model) >= MIN_BITS)
+    found = F.filter(outside(matches(F.col("t"), _JUDGED), places(*KINDS)), lambda x: likelihood_ratio(x["v"], model) >= MIN_BITS)
     rows = rows.withColumn("markov", found)
     return rows.select("id", *(places(k).alias(k) for k in (*KINDS, "markov")))
 

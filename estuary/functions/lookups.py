@@ -16,23 +16,23 @@ from estuary.functions.rsem import ColumnOrName, c, sql_lit
 
 # ---------------------------------------------------------------------------
 # Gear groups.  (group, member gear codes, inclusive ranges)
-# in matching order; the first matching row wins.
+# in matching order; the first matching row wins.  GEAR_LABELS names the groups;
+# gear 20 by the shore is told apart by stratum, see ``physical.gear_group``.
 # ---------------------------------------------------------------------------
 GEAR_GROUPS: list[tuple[int, tuple[int, ...], tuple[tuple[int, int], ...]]] = [
-    (2, (1, 2), ()),                                  # 6.1-m seine
-    (5, (5,), ()),                                    # 9.1-m seine
-    (20, (11, 13, 20, 21, 25, 26, 29), ((100, 107),)),  # 21-m offshore seines
-    # (19: gear 20 in stratum 'S' -- 21-m offshore seine, beach stratum; see gear_group)
-    (22, (12, 22, 24, 27, 28), ()),                   # 21-m beach seines
-    (23, (10, 23), ()),                               # 21-m boat seines
-    (153, (153, 154), ()),                            # 61-m blocknets
-    (160, (155, 157, 158, 159, 160), ()),             # 183-m haul seines
-    (170, (170, 431), ()),                            # 183-m purse seine
-    (180, (180,), ()),                                # 61-m haul seine
-    (207, (), ((204, 209), (403, 406), (409, 410))),  # gillnets
-    (300, (300, 301, 306), ()),                       # 6.1-m otter trawls
-    (350, (350, 351, 354), ()),                       # 1m roving dropnets
-    (436, (436,), ()),                                # 40m seine
+    (2, (1, 2), ()),
+    (5, (5,), ()),
+    (20, (11, 13, 20, 21, 25, 26, 29), ((100, 107),)),
+    (22, (12, 22, 24, 27, 28), ()),
+    (23, (10, 23), ()),
+    (153, (153, 154), ()),
+    (160, (155, 157, 158, 159, 160), ()),
+    (170, (170, 431), ()),
+    (180, (180,), ()),
+    (207, (), ((204, 209), (403, 406), (409, 410))),
+    (300, (300, 301, 306), ()),
+    (350, (350, 351, 354), ()),
+    (436, (436,), ()),
 ]
 SHORE_STRATUM_GEAR = 20
 SHORE_STRATUM = "S"

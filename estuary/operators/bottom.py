@@ -6,11 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions import lookups as L
-from estuary.functions.rsem import case_expr, num, q, sql_lit
-
-
-def _names(xs) -> str:
-    return ", ".join(sql_lit(x) for x in xs)
+from estuary.functions.rsem import case_expr, names_sql, num, q, sql_lit
 from estuary.operators.codes import BOTTOM_FIELD, codes_for
 from estuary.operators.physical import restrict
 
@@ -35,7 +31,7 @@ BOTTOM_LABELS = [
 
 
 def bottom_valid_sql(code: str) -> str:
-    return f"({code} IS NOT NULL AND {code} NOT IN ({_names(L.BOTTOM_DROP)}))"
+    return f"({code} IS NOT NULL AND {code} NOT IN ({names_sql(L.BOTTOM_DROP)}))"
 
 
 def bottom_valid(code: str) -> Column:

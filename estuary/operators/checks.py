@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions import lookups as L
-from estuary.functions.joins import bounded_broadcast
 from estuary.functions.rsem import ColumnOrName, c, in_set, keep_existing
 
 MISSING_COLUMNS = ["reference", "historic_reference", "gr", "effort", "number", "cf"]
@@ -21,9 +20,9 @@ def species_lookup(species_codes: DataFrame) -> DataFrame:
 
 def with_names(com: DataFrame, spp: DataFrame) -> DataFrame:
     """K2: attach scientific names (null-safe on species; a code with two
-    names fans out, as a left join does).  The name table is the species
-    code list; it is broadcast after a bounded row-count check."""
-    s = bounded_broadcast(spp.withColumnRenamed("species", "_sp"))
+    names fans out, as a left join does).  The size of the name table in
+    bytes, measured at run time if need be, decides how it is joined."""
+    s = spp.withColumnRenamed("species", "_sp")
     return com.join(s, com["species"].eqNullSafe(s["_sp"]), "left").drop("_sp")
 
 

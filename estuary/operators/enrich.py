@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from estuary.config import EXPORT_VARS, INDEX_KEEP, SEAGRASS_KEEP
-from estuary.functions.rsem import asc_nulls_last, drop_clashing, first_of_group, keep_existing
+from estuary.functions.rsem import asc_nulls_last, drop_clashing, keep_existing
 
 SEAGRASS_CHECK = ["reference", "latitude", "longitude", "year", "sgyear", "acres", "mngacre",
                   "FLUCCSCODE", "month", "gear", "TB_seg", "TBEP_seg", "season", "TBNI_Score",
@@ -22,26 +22,32 @@ def enrich(fld: DataFrame, index: DataFrame, seagrass: DataFrame) -> DataFrame:
     return df.join(drop_clashing(seagrass, df, ["reference"]), "reference", "left")
 
 
-def first_row_per_haul(df: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """One row per haul: the first by ``order`` (NULLs last), as an aggregate.
+def hauls_first_without(df: DataFrame, test: str, order: list[str] | None = None) -> DataFrame:
+    """The first row (by ``order``, NULLs last) of every haul whose first row has no ``test`` value.
 
-    ``min`` of (order key, row) is combined map-side, so a haul with very
-    many rows is reduced before the shuffle -- no window over the haul."""
+    The first place of a haul is the least of (order key, has a value): an
+    aggregate over these few columns, combined map-side.  Only then are the
+    whole rows fetched, by a semi join with the places that lack a value.
+    Rows of one place differ in no ordering column; the one of least hash stays."""
     order = [o for o in (order or ROW_ORDER) if o in df.columns]
-    keys = [k for o in order for k in asc_nulls_last(o)]
-    payload = F.struct(*[F.col(f"`{x}`") for x in df.columns if x != "reference"])
-    first = df.groupBy("reference").agg(first_of_group(keys, payload).alias("_row"))
-    return first.select("reference", "_row.*")
+    place = F.struct(*(F.struct(*(k.alias(f"k{i}") for i, k in enumerate(asc_nulls_last(o)))).alias(o) for o in order),
+                     F.col(test).isNotNull().alias("_has"))
+    first = df.groupBy("reference").agg(F.min(place).alias("_first")).where(~F.col("_first._has"))
+    found = first.select(F.col("reference").alias("_ref"), "_first")
+    rows = df.where(F.col(test).isNull())
+    rows = rows.join(found, (rows["reference"] == F.col("_ref")) & (place == F.col("_first")), "left_semi")
+    one = F.row_number().over(Window.partitionBy("reference").orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))))
+    return rows.withColumn("_one", one).where("_one = 1").drop("_one")
 
 
 def missing_index(df: DataFrame) -> DataFrame:
     """Hauls whose first row has no index score."""
-    return first_row_per_haul(df).where(F.col("TBNI_Score").isNull())
+    return hauls_first_without(df, "TBNI_Score")
 
 
 def missing_seagrass(df: DataFrame) -> DataFrame:
     """Hauls whose first row has no seagrass year (check columns that exist)."""
-    return keep_existing(first_row_per_haul(df).where(F.col("sgyear").isNull()), SEAGRASS_CHECK)
+    return keep_existing(hauls_first_without(df, "sgyear"), SEAGRASS_CHECK)
 
 
 def complete_cases(df: DataFrame, cols=("TBNI_Score", "sgyear")) -> DataFrame:

@@ -18,7 +18,7 @@ from estuary.functions.rsem import num_sql, q
 from estuary.operators import bottom as B
 from estuary.operators import shore as S
 from estuary.operators import vegetation as V
-from estuary.operators.codes import BOTTOM_FIELD, SHORE_FIELD, VEG_FIELD, codes_for
+from estuary.operators.codes import BOTTOM_FIELD, SHORE_FIELD, VEG_FIELD, code_rank, codes_for, ranked_codes
 from estuary.operators.physical import restrict
 
 COMBINED_COLUMNS = ["reference", *B.BOTTOM_FLAGS, "bottom",
@@ -31,15 +31,15 @@ VEG_COVER, SHORE_COVER = "_veg_cover", "_shore_cover"
 
 
 def _dict(codes: DataFrame, field: str, prefix: str) -> DataFrame:
-    d = codes_for(codes, field)
-    return d.selectExpr(*[f"{x} AS {prefix}{x}" for x in ("code", "description", "category")])
+    d = ranked_codes(codes, field) if field == VEG_FIELD else codes_for(codes, field)
+    return d.selectExpr(*[f"{x} AS {prefix}{x}" for x in d.columns])
 
 
 def classified_rows(hab: DataFrame, codes: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Every habitat row classified for all three components.
 
-    Three left joins with the (tiny, checked-and-broadcast) code dictionary:
-    a map-side pipeline with no shuffle."""
+    Three left joins with the code dictionary: a map-side pipeline with no
+    shuffle while the dictionary is under the broadcast threshold."""
     df = hab if keys is None else restrict(hab, keys)
     vcode = V.veg_code_sql("bottomveg")
     df = df.select(
@@ -56,13 +56,14 @@ def classified_rows(hab: DataFrame, codes: DataFrame, keys: DataFrame | None = N
     df = df.join(vd, df["v_code"] == vd["vd_code"], "left")
     df = df.join(sd, df["shoretype"] == sd["s_code"], "left")
     s_ratio = S.shore_ratio_sql("shoretype", "s_raw_ratio")
+    df = df.withColumn("v_ratio", F.expr(f"CASE WHEN v_valid THEN {V.veg_ratio_sql('v_code', 'v_raw_ratio')} END"))
+    df = V.with_dominant_code(df, "v_ratio", code_rank("v_code", "vd_rank", ranked_codes(codes, VEG_FIELD)), "v_top")
     return df.select(
-        "reference", "v_valid", "v_code",
+        "reference", "v_valid",
         F.expr(B.bottom_valid_sql("bottomtype")).alias("b_valid"),
         F.expr(B.bottom_category_sql("bottomtype", "b_category")).alias("b_cat"),
-        F.expr(V.veg_ratio_sql("v_code", "v_raw_ratio")).alias("v_ratio"),
+        "v_ratio", "v_top",
         F.expr(V.veg_cat_sql("v_code", "vd_category")).alias("v_cat"),
-        F.col("vd_description").alias("v_desc"),
         F.expr(S.shore_valid_sql("shoretype")).alias("s_valid"),
         F.expr(s_ratio).alias("s_ratio"),
         F.expr(S.shore_cat_sql("s_category")).alias("s_cat"),
@@ -71,24 +72,28 @@ def classified_rows(hab: DataFrame, codes: DataFrame, keys: DataFrame | None = N
     )
 
 
-def habitat_aggregate(rows: DataFrame) -> DataFrame:
+def habitat_aggregate(rows: DataFrame, codes: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """All per-haul habitat aggregates in one ``groupBy(reference)``.
 
     Rows with no usable code in any component contribute nothing and are
     dropped before the shuffle; a haul left without rows reads as NULL
     habitat either way (absent here, or present with every component
-    flagged missing)."""
+    flagged missing).
+
+    With ``keys`` only their hauls remain: the semi join stands right on the
+    aggregate, below which Catalyst moves it when the keys can be broadcast."""
     rows = rows.where("b_valid OR v_valid OR s_valid")
-    return rows.groupBy("reference").agg(
+    found = rows.groupBy("reference").agg(
         F.expr("max(CAST(b_valid AS INT))").alias("_has_bottom"),
         F.expr("max(CAST(v_valid AS INT))").alias("_has_veg"),
         F.expr("max(CAST(s_valid AS INT))").alias("_has_shore"),
         *B.bottom_flag_aggs("b_valid", "b_cat"),
         *V.veg_sum_aggs("v_valid", "v_cat", "v_ratio"),
-        V.dominant_agg("v_ratio", "v_code", "v_desc", "v_valid").alias("DominantVeg"),
+        V.dominant_agg("v_top").alias("_top"),
         *S.share_aggs("s_valid", "s_ratio", "s_ovr_wt", "s_ind_wt", prefix="_s_"),
         *S.shore_sum_aggs("s_valid", "s_cat", "s_ratio"),
     )
+    return V.dominant_names(found if keys is None else restrict(found, keys), "_top", codes)
 
 
 def habitat_columns(df: DataFrame, veg_cover_raw: str = "bottomvegcover",
@@ -123,7 +128,7 @@ def habitat_combined(hab: DataFrame, codes: DataFrame, fld: DataFrame,
     """One row per haul with any usable bottom, vegetation or shore row."""
     # restrict the rows first: the component filter below would sit between
     # a later semi join and the aggregate and keep Catalyst from moving it
-    agg = habitat_aggregate(classified_rows(hab, codes, keys))
+    agg = habitat_aggregate(classified_rows(hab, codes, keys), codes)
     agg = agg.where((F.col("_has_bottom") == 1) | (F.col("_has_veg") == 1) | (F.col("_has_shore") == 1))
     covers = fld.select("reference", F.col("bottomvegcover").alias("_raw_vc"),
                         F.col("TotalShoreCover").alias("_raw_sc"))

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from estuary.functions.joins import broadcast_if_bounded
 from estuary.operators.physical import restrict
 
 SURFACE_DEPTH = 0.2
@@ -40,33 +39,78 @@ def hydro_with_zone(mean: DataFrame, surf: DataFrame, fld: DataFrame) -> DataFra
                 .join(fld.select("reference", "zone"), "reference", "left"))
 
 
-def zone_salinity_sd(df: DataFrame) -> DataFrame:
-    """H5: sample SD of haul-mean salinity per zone (a NULL zone is a group).
+def haul_chemistry(hyd: DataFrame, keys: DataFrame | None = None, depth: float = SURFACE_DEPTH) -> DataFrame:
+    """Everything that is asked of a haul's readings in one aggregate, for the hauls of ``keys``.
 
-    A grouped aggregate, not a window: ``stddev_samp`` combines partial
-    moments map-side, so a zone holding most hauls is not funnelled into
-    one task."""
-    return df.groupBy("zone").agg(F.stddev_samp("salinity").alias("sal_sd"))
+    (reference, chem): the means of temperature, salinity and oxygen over the
+    usable readings, the number of usable and of surface readings.  They
+    travel as one array, so a query that uses them twice asks for the same
+    columns twice, and Spark makes one scan and one exchange serve both.
+    """
+    usable = F.col("temperature").isNotNull() | F.col("salinity").isNotNull()
+    parts = hyd.groupBy("reference").agg(
+        F.avg("temperature").alias("t"), F.avg("salinity").alias("s"), F.avg(F.when(usable, F.col("dissolvedO2"))).alias("o"),
+        F.count_if(usable).alias("n"), F.count_if(F.col("depth") == F.lit(depth).cast("double")).alias("k"))
+    if keys is not None:
+        parts = restrict(parts, keys)
+    counts = [F.col(c).cast("double") for c in ("n", "k")]
+    return parts.select("reference", F.concat(F.array("t", "s"), F.array("o", *counts)).alias("chem"))
 
 
-def hydro_summary(hyd: DataFrame, fld: DataFrame, keys: DataFrame | None = None) -> DataFrame:
-    """H1-H6: per-haul chemistry with the zone's salinity SD.
+def chemistry_columns(chem: DataFrame) -> DataFrame:
+    """``haul_chemistry`` unpacked: the means, ``n_usable`` and ``n_surface`` of every haul."""
+    at = [F.get("chem", F.lit(k)) for k in range(5)]
+    return chem.select("reference", at[0].alias("temperature"), at[1].alias("salinity"), at[2].alias("dissolvedO2"),
+                       at[3].cast("bigint").alias("n_usable"), at[4].cast("bigint").alias("n_surface"))
+
+
+def zone_salinity_sd(chem: DataFrame, fld: DataFrame) -> DataFrame:
+    """H5: sample SD of haul-mean salinity per zone (a NULL zone is a group).
 
-    The SD table has one row per zone of the kept hauls.  That bound is
-    checked on the haul table (distinct zones), and the SD table is then
-    broadcast and joined back null-safely: the per-haul side is never
-    shuffled by zone, so a zone holding most hauls cannot skew a task, and
-    it keeps its ``reference`` partitioning for the combine step.
+    A haul counts once for each of its surface readings, or once without any.
+    Moments (count, mean, sum of squares about the mean) are taken over the
+    hauls of each zone and weight, and the few weights of a zone are merged:
+    count, sum w c; mean, sum w c m / sum w c; squares, sum w (q + c (m - mean)^2).
+    Nothing is repeated or joined to the readings, and a zone with most of the
+    hauls is combined map-side.
+    """
+    rows = chem.join(fld.select("reference", "zone"), "reference", "left")  # no usable reading: no salinity, no weight
+    weight = F.greatest("n_surface", F.lit(1))
+    classes = rows.groupBy("zone", weight.alias("w")).agg(
+        F.count("salinity").alias("c"), F.avg("salinity").alias("m"), (F.var_pop("salinity") * F.count("salinity")).alias("q"))
+    zone = Window.partitionBy("zone")
+    n = F.sum(F.col("w") * F.col("c")).over(zone)
+    mean = F.sum(F.col("w") * F.col("c") * F.col("m")).over(zone) / F.when(n > 0, n)
+    merged = classes.select("zone", n.alias("n"), (F.col("w") * (F.col("q") + F.col("c") * F.pow(F.col("m") - mean, F.lit(2.0)))).alias("q"))
+    return merged.groupBy("zone").agg(F.max("n").alias("n"), F.sum("q").alias("q")).select(
+        "zone", F.when(F.col("n") > 1, F.sqrt(F.col("q") / (F.col("n") - 1))).alias("sal_sd"))
+
+
+def hydro_rows(hyd: DataFrame, fld: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """H1-H6 and ``n_usable``: per-haul chemistry with the zone's salinity SD.
+
+    The readings are scanned twice: once for the aggregate that both the
+    means and the SD come from, once for the surface rows.  The SD table has
+    one row per zone; it is joined null-safely without a hint, so its size at
+    run time decides: broadcast, or a shuffled join whose skewed zones
+    are split on the side of the hauls.
+
+    A haul without a usable reading is one row without chemistry, which a left
+    join of the hauls cannot tell from no row.  It is not filtered here: a
+    filter on the aggregate would keep the semi join with ``keys`` above it,
+    and with keys that can be broadcast Catalyst moves that below.
     """
     keys = keys if keys is not None else fld.select("reference")
-    # aggregate, then keep the selected hauls: Catalyst moves the semi join
-    # below the aggregate when the key set can be broadcast; otherwise the
-    # aggregate combines partial rows map-side first (skew-safe) and the
-    # semi join runs on one row per haul
-    mean = restrict(hydro_mean(hyd), keys)
-    hz = hydro_with_zone(mean, hydro_surface(restrict(hyd, keys)), fld)
-    sd = broadcast_if_bounded(zone_salinity_sd(hz).withColumnRenamed("zone", "sd_zone"),
-                              fld.select("zone").distinct())
+    chem = chemistry_columns(haul_chemistry(hyd, keys))
+    surf = hydro_surface(restrict(hyd, keys)).withColumnRenamed("reference", "_ref")
+    hz = chem.drop("n_surface").join(surf, (F.col("reference") == F.col("_ref")) & (F.col("n_usable") > 0), "left").drop("_ref")
+    hz = hz.join(fld.select("reference", "zone"), "reference", "left")
+    sd = zone_salinity_sd(chem, fld).withColumnRenamed("zone", "sd_zone")
     out = hz.join(sd, hz["zone"].eqNullSafe(sd["sd_zone"]), "left")
-    return out.select("reference", "temperature", "salinity", "dissolvedO2",
-                      "temp_surf", "sal_surf", "do2_surf", "sal_sd")
+    return out.select("reference", "n_usable", "temperature", "salinity", "dissolvedO2", "temp_surf", "sal_surf", "do2_surf",
+                      F.when(F.col("n_usable") > 0, F.col("sal_sd")).alias("sal_sd"))
+
+
+def hydro_summary(hyd: DataFrame, fld: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """H6: ``hydro_rows`` of the hauls with a usable reading."""
+    return hydro_rows(hyd, fld, keys).where("n_usable > 0").drop("n_usable")

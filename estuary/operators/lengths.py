@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from estuary.functions.rsem import num
@@ -54,16 +54,35 @@ def length_dataset(freq: DataFrame) -> DataFrame:
                        "count", "sl")
 
 
+# A sample or species may be missing, and missing matches missing (L6).  The
+# same pair as texts without NULL: plain equality does, and what is dealt
+# by these columns for one step is dealt right for the next.
+PAIR = ["_sample", "_species"]
+
+
+def pair_columns(df: DataFrame) -> DataFrame:
+    """``df`` with the normalised (sample, species) pair."""
+    def known(x: str) -> Column:
+        return F.coalesce(F.concat(F.lit("="), F.col(x)), F.lit(""))
+
+    return df.withColumns({k: known(x) for k, x in zip(PAIR, ("bio_reference", "species"))})
+
+
+def pair_values(df: DataFrame) -> DataFrame:
+    """``bio_reference`` and ``species`` back from the pair."""
+    return df.withColumns({x: F.expr(f"CASE WHEN {k} <> '' THEN substring({k}, 2) END")
+                           for k, x in zip(PAIR, ("bio_reference", "species"))}).drop(*PAIR)
+
+
 def lengths_in(lens: DataFrame, com: DataFrame) -> DataFrame:
     """Keep (sample, species) pairs present in the combined table.
 
-    Null-safe semi join (a zero-catch or unknown species is NULL on both
-    sides and still matches); never fans out.  The pairs are made distinct
-    map-side first: every zero-catch haul adds the pair (NULL, NULL), which
-    would otherwise gather in one partition that AQE cannot split."""
-    pairs = com.select(F.col("bio_reference").alias("_b"), F.col("species").alias("_s")).distinct()
-    cond = lens["bio_reference"].eqNullSafe(pairs["_b"]) & lens["species"].eqNullSafe(pairs["_s"])
-    return lens.join(pairs, cond, "left_semi")
+    A semi join on the normalised pair (a zero-catch or unknown species
+    is missing on both sides and still matches); never fans out.  The pairs are
+    made distinct map-side first, as every zero-catch haul adds the same one,
+    and the join takes the partitioning that ``distinct`` leaves."""
+    pairs = pair_columns(com.select("bio_reference", "species")).select(*PAIR).distinct()
+    return pair_columns(lens).join(pairs, PAIR, "left_semi").drop(*PAIR)
 
 
 def length_pipeline(rows: DataFrame, lengths: DataFrame) -> DataFrame:
@@ -71,16 +90,24 @@ def length_pipeline(rows: DataFrame, lengths: DataFrame) -> DataFrame:
     return length_dataset(length_frequency(lengths_matched(rows, length_rows(lengths))))
 
 
-def kept_length_dataset(rows: DataFrame, lengths: DataFrame, keys: DataFrame) -> DataFrame:
-    """L1-L5 for the kept hauls, written join -> aggregate -> restrict.
+def kept_length_dataset(rows: DataFrame, lengths: DataFrame, keys: DataFrame,
+                        com: DataFrame | None = None) -> DataFrame:
+    """L1-L6 for the kept hauls, written join -> aggregate -> restrict -> filter -> sum.
 
     The frequency aggregate also groups by the haul (which the sample key
     already determines), so the kept-haul semi join can follow it: Catalyst
     moves it below the aggregate and the join when the key set can be
     broadcast (rows filtered map-side first); otherwise it runs on the
-    aggregated frequencies instead of shuffling raw catch rows twice."""
-    matched = lengths_matched(rows, length_rows(lengths))
-    freq = matched.groupBy("bio_reference", "species", "sl", "reference").agg(
-        F.count(F.lit(1)).alias("count"))
+    aggregated frequencies instead of shuffling raw catch rows twice.
+
+    Frequencies, filter and sum speak of the same normalised pair.  The
+    filter keeps or drops whole pairs, so it may come before the sum: the
+    pre-combined frequencies are dealt by the pair once, for both."""
+    matched = pair_columns(lengths_matched(rows, length_rows(lengths)))
+    freq = matched.groupBy(*PAIR, "sl", "reference").agg(F.count(F.lit(1)).alias("count"))
     freq = freq.join(keys, "reference", "left_semi").drop("reference")
-    return length_dataset(freq)
+    if com is not None:
+        pairs = pair_columns(com.select("bio_reference", "species")).select(*PAIR).distinct()
+        freq = freq.join(pairs, PAIR, "left_semi")
+    total = F.sum("count").over(Window.partitionBy(*PAIR))
+    return pair_values(freq.withColumn("nl", total)).select("bio_reference", "species", "nl", "count", "sl")

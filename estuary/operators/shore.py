@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions import lookups as L
-from estuary.functions.rsem import case_expr, num, num_sql, pivot_fill, q, sql_lit
+from estuary.functions.rsem import case_expr, names_sql, num, num_sql, pivot_fill, q, sql_lit
 from estuary.operators.codes import SHORE_FIELD, codes_for
 from estuary.operators.physical import restrict
 
 # Shore categories (pivot columns) and the shore label for
 # each presence pattern (Man, Eme, Str, Ter) in matching order.
 SHORE_CATS = ["Man", "Ter", "Str", "Eme"]
+RATIO_SUM = "DECIMAL(38, 12)"
 SHORE_LABELS = [
     ((1, 0, 0, 0), "Man"),
     ((0, 1, 0, 0), "Eme"),
@@ -38,12 +39,8 @@ def shore_cover(fld: DataFrame) -> DataFrame:
     return fld.select("reference", num("TotalShoreCover").alias("TotalShoreCover"))
 
 
-def _names(xs) -> str:
-    return ", ".join(sql_lit(x) for x in xs)
-
-
 def shore_valid_sql(code: str) -> str:
-    return f"({code} IS NOT NULL AND {code} NOT IN ({_names(L.SHORE_DROP)}))"
+    return f"({code} IS NOT NULL AND {code} NOT IN ({names_sql(L.SHORE_DROP)}))"
 
 
 def shore_valid(code: str) -> Column:
@@ -57,7 +54,7 @@ def shore_ratio_sql(code: str, ratio: str) -> str:
 
 def yes_no_sql(x: str) -> str:
     """'1'..'10' or 'YES' -> 'YES', anything else (NULL included) -> 'NO'."""
-    return f"CASE WHEN {x} IN ({_names(L.YES_VALUES)}) THEN 'YES' ELSE 'NO' END"
+    return f"CASE WHEN {x} IN ({names_sql(L.YES_VALUES)}) THEN 'YES' ELSE 'NO' END"
 
 
 def yes_no(x: str) -> Column:
@@ -123,8 +120,10 @@ def percent(cover: str, share_col: str, reference: str = "reference") -> Column:
 
 def share_aggs(valid: str | None, ratio: str, ovr_wt: str, ind_wt: str,
                prefix: str = "") -> list[Column]:
+    """Sums of the ratios and of their weighted parts, as decimals: the order in which rows
+    meet cannot move a share across the third decimal."""
     guard = (lambda x: f"CASE WHEN {q(valid)} THEN {q(x)} END") if valid else q
-    return [F.expr(f"coalesce(sum({guard(x)}), 0.0D)").alias(prefix + name)
+    return [F.expr(f"CAST(coalesce(sum(try_cast({guard(x)} AS {RATIO_SUM})), 0) AS DOUBLE)").alias(prefix + name)
             for x, name in ((ratio, "str"), (ovr_wt, "ovr_wt1"), (ind_wt, "ind_wt1"))]
 
 

@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
+import struct
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions import lookups as L
-from estuary.functions.rsem import case_expr, num, num_sql, pivot_fill, q, sql_lit
-from estuary.operators.codes import VEG_FIELD, codes_for
+from estuary.functions.rsem import case_expr, names_sql, num, num_sql, pivot_fill, q, sql_lit, with_order_code
+from estuary.operators.codes import VEG_FIELD, code_rank, codes_for, ranked_codes
 from estuary.operators.physical import restrict
 
 # Vegetation categories (pivot columns, export order) and the
 # ones that count as "vegetation present" for the cover rules.
 VEG_CATS = ["SAV", "Alg", "Non", "HA", "TH", "RU"]
 VEG_PRESENT = ["SAV", "Alg", "TH", "HA", "RU"]
-DOMINANT_MIN_RATIO = 5
-
-
-def _names(xs) -> str:
-    return ", ".join(sql_lit(x) for x in xs)
+DOMINANT_MIN_RATIO = 5.0
+_RANKS = 1 << 32
+_MIN_ORDER = struct.unpack("q", struct.pack("d", DOMINANT_MIN_RATIO))[0]  # its ``with_order_code``
 
 
 def veg_cover(fld: DataFrame) -> DataFrame:
@@ -32,7 +33,7 @@ def cover_for_weights(x: str) -> Column:
 
 
 def veg_valid_sql(code: str) -> str:
-    return f"({code} IS NOT NULL AND {code} NOT IN ({_names(L.VEG_DROP)}))"
+    return f"({code} IS NOT NULL AND {code} NOT IN ({names_sql(L.VEG_DROP)}))"
 
 
 def veg_valid(code: str) -> Column:
@@ -75,7 +76,7 @@ def veg_rows(hab: DataFrame, keys: DataFrame | None = None) -> DataFrame:
 
 
 def veg_cat_sql(code: str, category: str) -> str:
-    return (f"CASE WHEN {code} IN ({_names(L.VEG_SPECIES_CODES)}) THEN {code} "
+    return (f"CASE WHEN {code} IN ({names_sql(L.VEG_SPECIES_CODES)}) THEN {code} "
             f"ELSE substring({category}, 1, 3) END")
 
 
@@ -90,25 +91,43 @@ def veg_categories(rows: DataFrame, codes: DataFrame) -> DataFrame:
     return df.withColumn("bveg_cat", veg_cat("code", "category"))
 
 
-def dominant_agg(ratio: str, code: str, description: str, where: str | None = None) -> Column:
-    """V4 as an aggregate: description of the top row by (ratio desc, code asc)
-    when its ratio exceeds 5, else "SAV".
+def with_dominant_code(df: DataFrame, ratio: str, rank: Column, name: str) -> DataFrame:
+    """V4's order as one number: the greatest is the row first by (ratio desc, code asc).
+
+    A number, unlike a row of texts, is a hash aggregate's buffer, so the
+    pick costs no sort of the habitat rows and is combined map-side.
+    """
+    df = with_order_code(df, ratio, "_order").withColumn("_rank", rank)
+    code = F.col("_order").cast("decimal(20,0)") * F.lit(_RANKS) + (F.lit(_RANKS - 1) - F.col("_rank"))
+    return df.withColumn(name, code.cast("decimal(38,0)")).drop("_order", "_rank")
+
+
+def dominant_agg(code: str, where: str | None = None) -> Column:
+    return F.expr(f"max(CASE WHEN {q(where)} THEN {q(code)} END)" if where else f"max({q(code)})")
+
+
+def dominant_names(df: DataFrame, top: str, codes: DataFrame) -> DataFrame:
+    """V4: ``DominantVeg`` for ``top``, the greatest ``with_dominant_code`` of each row: its
+    description when the ratio exceeds 5 (NULL for a code that is not listed), else "SAV"."""
+    ranked = ranked_codes(codes, VEG_FIELD).select(F.col("rank").alias("_dom_rank"), F.col("description").alias("_dom_name"))
+    rank = F.lit(_RANKS - 1) - F.pmod(F.col(top), F.lit(_RANKS).cast("decimal(38,0)")).cast("bigint")
+    least = F.lit(Decimal((_MIN_ORDER + 1) * _RANKS))
+    df = df.join(ranked, rank == F.col("_dom_rank"), "left")
+    name = F.when(F.col(top) >= least, F.col("_dom_name")).when(F.col(top).isNotNull(), F.lit("SAV"))
+    return df.withColumn("DominantVeg", name).drop(top, "_dom_rank", "_dom_name")
+
 
-    The top row is ``min(struct(-ratio, code, row))`` -- an ordinary
-    aggregate (see ``rsem.first_of_group``), combined map-side."""
-    key = (f"named_struct('k0', -{q(ratio)}, 'k1', {q(code)}, "
-           f"'r', {q(ratio)}, 'd', {q(description)})")
-    if where:
-        key = f"CASE WHEN {q(where)} THEN {key} END"
-    top = f"min({key})"
-    return F.expr(f"CASE WHEN {top} IS NULL THEN NULL WHEN {top}.r > {DOMINANT_MIN_RATIO} "
-                  f"THEN {top}.d ELSE 'SAV' END")
+def veg_ranked(rows: DataFrame, codes: DataFrame) -> DataFrame:
+    """V3 with ``top``, each row's place in V4's order."""
+    ranked = ranked_codes(codes, VEG_FIELD)
+    df = rows.join(ranked, "code", "left").withColumn("bveg_cat", veg_cat("code", "category"))
+    return with_dominant_code(df, "BottomVegRatio", code_rank("code", "rank", ranked), "top")
 
 
-def veg_dominant(cats: DataFrame) -> DataFrame:
-    """V4: (reference, DominantVeg)."""
-    return cats.groupBy("reference").agg(
-        dominant_agg("BottomVegRatio", "code", "description").alias("DominantVeg"))
+def veg_dominant(rows: DataFrame, codes: DataFrame) -> DataFrame:
+    """V4: (reference, DominantVeg) of the vegetation rows."""
+    tops = veg_ranked(rows, codes).groupBy("reference").agg(dominant_agg("top").alias("top"))
+    return dominant_names(tops, "top", codes)
 
 
 def veg_sums(cats: DataFrame) -> DataFrame:
@@ -166,9 +185,9 @@ def clean_dominant(dom: str, bveg: str) -> Column:
     """V13: "Mixed" takes the class; algae, Halophila and mixed seagrass names are pooled."""
     d = q(dom)
     return F.expr(f"CASE WHEN {d} = {sql_lit(L.MIXED)} THEN {q(bveg)} "
-                  f"WHEN {d} IN ({_names(L.ALGAE_NAMES)}) THEN 'Algae' "
-                  f"WHEN {d} IN ({_names(L.HALOPHILA_NAMES)}) THEN 'Halophila spp.' "
-                  f"WHEN {d} IN ({_names(L.SEAGRASS_NAMES)}) THEN 'SAV' ELSE {d} END")
+                  f"WHEN {d} IN ({names_sql(L.ALGAE_NAMES)}) THEN 'Algae' "
+                  f"WHEN {d} IN ({names_sql(L.HALOPHILA_NAMES)}) THEN 'Halophila spp.' "
+                  f"WHEN {d} IN ({names_sql(L.SEAGRASS_NAMES)}) THEN 'SAV' ELSE {d} END")
 
 
 # The finishing stages, applied in order: each stage reads the previous
@@ -217,11 +236,9 @@ def veg_wide(hab: DataFrame, codes: DataFrame, fld: DataFrame,
 
     One aggregate over the vegetation rows yields the six sums and the
     dominant row together; the cover is one left join on ``reference``."""
-    cats = veg_categories(veg_rows(hab, keys), codes)
-    agg = cats.groupBy("reference").agg(
-        *veg_sum_aggs(None, "bveg_cat", "BottomVegRatio"),
-        dominant_agg("BottomVegRatio", "code", "description").alias("DominantVeg"))
-    return agg.join(veg_cover(fld), "reference", "left")
+    agg = veg_ranked(veg_rows(hab, keys), codes).groupBy("reference").agg(
+        *veg_sum_aggs(None, "bveg_cat", "BottomVegRatio"), dominant_agg("top").alias("top"))
+    return dominant_names(agg, "top", codes).join(veg_cover(fld), "reference", "left")
 
 
 def vegetation_summary(hab: DataFrame, codes: DataFrame, fld: DataFrame,

@@ -1,8 +1,6 @@
 """The survey pipelines (Z1-Z4) as lazy DataFrame graphs.
 
-Only the ``write_*`` functions run over the data.  While plans are built, the
-row counts of the code lists and of the distinct zones are checked for the
-broadcast hints (small jobs on small or pruned tables), and nothing else runs.
+Only the ``write_*`` functions run over the data; building a plan starts no job.
 ``run_analysis`` returns DataFrames whose plans Catalyst optimises as a
 whole: filters reach the parquet scans, every per-haul table is keyed and
 partitioned on ``reference`` and the combine step is a chain of left joins
@@ -22,6 +20,12 @@ from estuary.operators import catch, checks, combine, enrich, habitat, hydro, le
 from estuary.sources import io
 
 
+# The names under which the outputs are known.
+OUTPUT_NAMES = {"samples_summary": "check_samples_summary", "fish_by_gear_month": "check_fish_by_gear_month",
+                "fish_by_project": "check_fish_by_project", "index_check": "tbni_check",
+                "seagrass_check": "sg_chk", "export": "phy_tbni_sgrs"}
+
+
 @dataclass
 class Analysis:
     fld: DataFrame        # selected hauls with physical variables
@@ -40,7 +44,7 @@ def combined_full(tables: dict[str, DataFrame], cfg: SurveyConfig,
     to the hauls; columns that a haul already has are left out."""
     fld = physical.physical_master(tables["hauls"], cfg)
     keys = physical.retained_keys(fld)
-    hyd = hydro.hydro_summary(tables["hydro"], fld, keys)
+    hyd = hydro.hydro_rows(tables["hydro"], fld, keys).drop("n_usable")
     rows = catch.catch_rows(tables["counts"], keys)
     # per-haul aggregates are computed, then restricted to the kept hauls:
     # Catalyst pushes the semi join below the aggregate when the key set can
@@ -48,8 +52,7 @@ def combined_full(tables: dict[str, DataFrame], cfg: SurveyConfig,
     totals = physical.restrict(catch.catch_totals(catch.catch_rows(tables["counts"])), keys)
     # habitat aggregates are joined straight onto the hauls; the R9 columns
     # are derived in place from the haul's own cover texts (saves a join)
-    hab_agg = physical.restrict(
-        habitat.habitat_aggregate(habitat.classified_rows(tables["habitat"], tables["codes"])), keys)
+    hab_agg = habitat.habitat_aggregate(habitat.classified_rows(tables["habitat"], tables["codes"]), tables["codes"], keys)
     df = combine.left_chain(fld, [hab_agg])
     df = habitat.habitat_columns(df)
     df = combine.combine(df, None, hyd, totals, extra)
@@ -79,10 +82,9 @@ def run_analysis(tables: dict[str, DataFrame], cfg: SurveyConfig,
     full, parts = combined_full(tables, cfg, extra)
     com = combine.keep_export(full, [*EXPORT_VARS, *(c for x in extra for c in x.columns)])
     lens = lengths.kept_length_dataset(catch.catch_rows(tables["counts"]), tables["lengths"],
-                                       parts["keys"])
-    pairs = com_pairs(parts["fld"], parts["totals"])
+                                       parts["keys"], com_pairs(parts["fld"], parts["totals"]))
     return Analysis(fld=parts["fld"], keys=parts["keys"], rows=parts["rows"],
-                    totals=parts["totals"], com=com, len=lengths.lengths_in(lens, pairs))
+                    totals=parts["totals"], com=com, len=lens)
 
 
 def checked(com: DataFrame, species_codes: DataFrame) -> DataFrame:
@@ -127,8 +129,12 @@ def habitat_summary(tables: dict[str, DataFrame], cfg: SurveyConfig) -> DataFram
 
 
 def write_outputs(spark: SparkSession, tables: dict[str, DataFrame], cfg: SurveyConfig,
-                  out_dir: str, fmt: str = "csv", extra: Sequence[DataFrame] = ()) -> dict[str, str]:
-    """Run Z1 + Z2 and write every output table.
+                  out_dir: str, fmt: str = "csv", extra: Sequence[DataFrame] = (),
+                  lost: io.Lost | None = None) -> dict[str, str]:
+    """Run Z1 - Z3 and write every output table.
+
+    With ``lost``, the observations ``load_tables`` left, the values that
+    reading lost are written as ``lost_values`` (table_name, column_name, n).
 
     ``com`` is written first, always as parquet too, and read back from
     there for the length filter and the QA tables: a lost executor later
@@ -154,15 +160,20 @@ def write_outputs(spark: SparkSession, tables: dict[str, DataFrame], cfg: Survey
         write(com, io.output_name(cfg, "c", fmt))
     else:
         paths[io.output_name(cfg, "c", fmt)] = com_path
-    lens = lengths.lengths_in(lengths.kept_length_dataset(catch.catch_rows(tables["counts"]),
-                                                          tables["lengths"], a.keys), com)
+    lens = lengths.kept_length_dataset(catch.catch_rows(tables["counts"]), tables["lengths"], a.keys, com)
     write(lens, io.output_name(cfg, "l", fmt))
     for name, df in run_checks(com, tables["species_codes"]).items():
         if name.endswith("top50"):
             continue
-        write(df, name)
-    if "index" in tables and "seagrass" in tables:
+        write(df, OUTPUT_NAMES.get(name, name))
+    enriched = "index" in tables and "seagrass" in tables
+    if enriched:
         enr = run_enrichment(com, tables["index"], tables["seagrass"], cfg.include_enrichment)
         for name in ("index_check", "seagrass_check", "export"):
-            write(enr[name], "enriched_export" if name == "export" else name)
+            write(enr[name], OUTPUT_NAMES[name])
+    if lost is not None:
+        # index and seagrass are read together or not at all
+        read = {n: seen for n, seen in lost.items() if n in tables and (enriched or n not in ("index", "seagrass"))}
+        rows = [(t, c, n) for t, counts in io.lost_values(read).items() for c, n in counts.items()]
+        write(spark.createDataFrame(rows, "table_name string, column_name string, n bigint"), "lost_values")
     return paths

@@ -52,7 +52,7 @@ def q_phys_select(t):
 
 
 SELECT_FROM = ALL_HAULS.with_(first_year=1995)
-SELECT_UNTIL = ALL_HAULS.with_(last_year=1994)
+SELECT_UNTIL = ALL_HAULS.with_(last_year=1997)
 SELECT_ZONES = ALL_HAULS.with_(zones=("A", "C", "Z1"))
 
 
@@ -155,7 +155,7 @@ def q_hyd_zone(t):
 
 @query("hyd_zone_sd")
 def q_hyd_zone_sd(t):
-    return hydro.zone_salinity_sd(_hz(t))
+    return hydro.zone_salinity_sd(hydro.chemistry_columns(hydro.haul_chemistry(_hyd(t))).where("n_usable > 0"), _fld(t))
 
 
 @query("hyd_summary")
@@ -216,7 +216,7 @@ def q_veg_cat(t):
 
 @query("veg_dominant")
 def q_veg_dominant(t):
-    return vegetation.veg_dominant(_vcat(t))
+    return vegetation.veg_dominant(vegetation.veg_rows(t["habitat"], _keys(t)), t["codes"])
 
 
 @query("veg_sums")

@@ -13,6 +13,8 @@ SURVEY_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # the size measured at run time decides, whatever the static estimate said
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # AQE sizes post-shuffle partitions to ~128 MB from a generous initial

@@ -18,7 +18,7 @@ def oracle_sql() -> dict[str, str]:
     # physical
     q["phys_select"] = rounded(DF, "phys_sel", PHYS_D)
     phys_d = ", ".join(f"round({d}, 6) AS {d}" for d in PHYS_D)
-    for name, test in (("from", "year >= 1995"), ("until", "year <= 1994"), ("zones", "zone IN ('A', 'C', 'Z1')")):
+    for name, test in (("from", "year >= 1995"), ("until", "year <= 1997"), ("zones", "zone IN ('A', 'C', 'Z1')")):
         q[f"phys_select_{name}"] = with_stages(A, f"SELECT * REPLACE ({phys_d}) FROM fx_haul WHERE {test}")
     q["phys_gear_group"] = rounded(A, "phys_all", [], "reference, gear, stratum, gr")
     q["phys_gear_group_split"] = with_stages(

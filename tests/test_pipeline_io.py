@@ -15,12 +15,12 @@ def test_write_outputs_csv(spark, tmpdir_path):
     tables = fixtures.survey_tables(spark, SF)
     paths = pipeline.write_outputs(spark, tables, DEFAULT, tmpdir_path, fmt="csv")
     assert set(paths) == {"tbm_c.csv", "tbm_l.csv", "check_combined_data", "missing",
-                          "samples_summary", "fish_by_gear_month", "fish_by_project",
-                          "index_check", "seagrass_check", "enriched_export"}
+                          "check_samples_summary", "check_fish_by_gear_month", "check_fish_by_project",
+                          "tbni_check", "sg_chk", "phy_tbni_sgrs"}
     com = io.read_survey_csv(spark, paths["tbm_c.csv"])
     lens = io.read_survey_csv(spark, paths["tbm_l.csv"])
     assert com.count() == 85 and lens.count() == 133          # default sf0.001, counted by DuckDB
-    assert spark.read.option("header", "true").csv(paths["samples_summary"]).count() == 14
+    assert spark.read.option("header", "true").csv(paths["check_samples_summary"]).count() == 14
     assert com.where(F.col("species") == "NA").count() == 0    # NULL written as NA, read back as NULL
 
 
@@ -42,6 +42,6 @@ def test_command_line_run(spark, tmpdir_path):
     paths = cli.main(["--tables", src, "--out", f"{tmpdir_path}/out", "--format", "parquet"])
     assert spark.read.parquet(paths["tbm_c.parquet"]).count() == 85
     # enrichment outputs (index and seagrass tables present); FIXTURES.md counts are for sf0.01
-    assert {"index_check", "seagrass_check", "enriched_export"} <= set(paths)
-    exp = spark.read.parquet(paths["enriched_export"])
+    assert {"tbni_check", "sg_chk", "phy_tbni_sgrs"} <= set(paths)
+    exp = spark.read.parquet(paths["phy_tbni_sgrs"])
     assert "sgyear" in exp.columns and exp.where(F.col("sgyear").isNull()).count() == 0

@@ -42,9 +42,9 @@ def stored_tables(spark, tables, path):
 
 
 def final_plan(df):
-    """The final adaptive plan without the plans of its subqueries."""
+    """The final adaptive plan."""
     df.collect()
-    return re.sub(r"(?s)\+- == Initial Plan ==.*", "", df._jdf.queryExecution().executedPlan().toString())
+    return re.sub(r"(?ms)^\+- == Initial Plan ==.*", "", df._jdf.queryExecution().executedPlan().toString())
 
 
 def test_building_a_plan_starts_no_job(spark, tables, tmpdir_path):

@@ -139,7 +139,7 @@ def in_order(docs: DataFrame) -> DataFrame:
     if not heads:
         return placed.select("bucket", F.lit(0).alias("tail"), "doc_id", "text")
     rows = spark.createDataFrame([(h.head, b) for h, b in zip(heads, before)], "head long, closes int")
-    closing = docs.join(F.broadcast(rows), F.col("doc_id").eqNullSafe(F.col("head"))).groupBy("closes").agg(F.min("text").alias("text"))
+    closing = docs.join(F.broadcast(rows), F.col("doc_id").eqNullSafe(F.col("head"))).groupBy("closes").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))  # the bucket's own order: null is empty
     return placed.select("bucket", F.lit(0).alias("tail"), "doc_id", "text").union(
         closing.select(F.col("closes").alias("bucket"), F.lit(1), F.lit(None).cast("long"), "text"))
 

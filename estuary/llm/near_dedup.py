@@ -20,7 +20,9 @@ Defined results: a null text, or one without words, has the empty set, is
 linked with nothing and is its own component; where an id repeats, each row
 takes the group of its own text; rows with a null id are grouped by equal set only, with the
 smallest id of that set, or null where it has none (such rows are kept).
-Only the id and text columns are read.
+Only the id and text columns are read, others are passed on by ``keep_one``; texts of
+any length are taken whole, ties in size of a group go to the smaller id, and
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,12 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estuary.llm.common import bytes_of, list_column, ship_package, slices, stored, table
+from estuary.llm.common import bytes_of, fresh, list_column, ship_package, slices, stored, table
 from estuary.llm.graphs import components
 from estuary.llm.shingles import WORDS, mix, shingle_sets
 
 PERCENT = 85
 ROWS, MEET = 3, 0.9993
+ROUND = 6
 CELL = 192
 
 
@@ -75,7 +78,7 @@ def half_keys(sets: list[np.ndarray], side: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, side: int, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, set1, set2, halves): a 128-bit set hash and the half keys."""
+    """(doc_id, mark, n_shingles, set1, set2, halves) of (doc_id, text, mark): a 128-bit set hash and the half keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             sets = shingle_sets(bytes_of(batch), words)
@@ -87,21 +90,29 @@ def signatures(docs: DataFrame, side: int, words: int = WORDS) -> DataFrame:
             sums = [pa.array(np.array([mix(s + np.uint64(salt)).sum(dtype=np.uint64) for s in sets], dtype=np.uint64).view(np.int64))
                     for salt in (0x51, 0xA7C3)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array([len(s) for s in sets], dtype=np.int64)), *sums,
+                [batch.column(0), batch.column(2), pa.array(np.array([len(s) for s in sets], dtype=np.int64)), *sums,
                  list_column(halves.view(np.int64).ravel(), lengths, pa.int64())],
-                names=["doc_id", "n_shingles", "set1", "set2", "halves"])
+                names=["doc_id", "mark", "n_shingles", "set1", "set2", "halves"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, set1 bigint, set2 bigint, halves array<bigint>")
+    return docs.mapInArrow(run, "doc_id bigint, mark bigint, n_shingles bigint, set1 bigint, set2 bigint, halves array<bigint>")
 
 
 def candidate_links(classes: DataFrame, side: int) -> DataFrame:
-    """Links (u, v) of each class to the smallest class of each of its buckets."""
-    keys = classes.select("rep", F.explode(F.expr(
-        f"flatten(transform(sequence(0, {side - 1}), i -> transform(sequence(0, {side - 1}),"
-        f" j -> xxhash64(halves[i], halves[{side} + j], i * {side} + j))))")).alias("key"))
-    heads = keys.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("tail")).where("head <> tail")
-    return keys.join(heads.select("key", "head"), "key").where("rep <> head").select(
-        F.col("rep").alias("u"), F.col("head").alias("v"))
+    """Links (u, v) of each class to the smallest class of each of its buckets.
+
+    The tables are made in rounds of ``ROUND`` collections of the first group
+    at most, whose links are written: fewer rows are under way at a time."""
+    rounds, found = math.ceil(side / ROUND), None
+    for k in range(rounds):
+        firsts = range(side * k // rounds, side * (k + 1) // rounds)
+        keys = classes.select("rep", F.explode(F.expr(
+            f"flatten(transform(sequence({firsts[0]}, {firsts[-1]}), i -> transform(sequence(0, {side - 1}),"
+            f" j -> xxhash64(halves[i], halves[{side} + j], i * {side} + j))))")).alias("key"))
+        heads = keys.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("tail")).where("head <> tail")
+        links = stored(keys.join(heads.select("key", "head"), "key").where("rep <> head").select(
+            F.col("rep").alias("u"), F.col("head").alias("v")).distinct(), "candidates")
+        found = links if found is None else found.unionByName(links)
+    return found
 
 
 def cells(blocks: DataFrame, cell: int = CELL) -> DataFrame:
@@ -158,6 +169,7 @@ def verified_links(members: DataFrame, percent: int = PERCENT) -> DataFrame:
         sets = [np.asarray(s, dtype=np.int64) for s in unit["shingles"]]
         sizes, node, own = np.array([len(s) for s in sets]), unit["node"].to_numpy(), unit["own"].to_numpy()
         both = intersections(sets)
+        both = both.astype(np.int64)  # the counts are exact, their products in single precision are not
         linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
         if unit["lo"].iat[0] != unit["hi"].iat[0]:
             linked &= own[:, None] != own[None, :]
@@ -182,11 +194,10 @@ def with_sets(docs: DataFrame, nodes: DataFrame, words: int = WORDS) -> DataFram
         run, "node bigint, shingles array<bigint>")
 
 
-def near_groups(docs: DataFrame, percent: int = PERCENT, words: int = WORDS,
-                id_col: str = "doc_id", text_col: str = "text", side: int | None = None) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row."""
+def grouped(docs: DataFrame, percent: int, words: int, id_col: str, text_col: str, side: int | None) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, mark, n_shingles, set1, set2) of every row, and (set1, set2, component) of every set; ``mark`` is the text's hash."""
     ship_package(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("mark"))
     side = side or side_for(percent)
     signed = stored(signatures(rows, side, words), "signatures")
     # a class's half keys are equal in all its rows
@@ -199,11 +210,43 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, words: int = WORDS,
     label = components(links)
     groups = stored(classes.join(label.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "set1", "set2", F.coalesce("component", "rep").alias("component")), "groups")
+    return signed.drop("halves"), groups
+
+
+def near_groups(docs: DataFrame, percent: int = PERCENT, words: int = WORDS,
+                id_col: str = "doc_id", text_col: str = "text", side: int | None = None) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row."""
+    signed, groups = grouped(docs, percent, words, id_col, text_col, side)
     found = signed.join(groups, ["set1", "set2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def keep_one(docs: DataFrame, percent: int = PERCENT, words: int = WORDS,
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, whole, with one document left of every group.
+
+    A document is an id and its text.  The one of least id stays (a null id
+    only where the group has no other; texts of one id by their hash), in one
+    row.  Another text under the same id is judged on its own.  Rows without
+    words are in no group: one of each id and text stays.
+    """
+    signed, groups = grouped(docs, percent, words, id_col, text_col, None)
+    full = signed.where("n_shingles > 0")
+    place = F.struct(F.col("doc_id").isNull().alias("nil"), "doc_id", "mark")
+    firsts = full.groupBy("set1", "set2").agg(F.min(place).alias("first")).join(groups, ["set1", "set2"])
+    # sets of null ids only have no component: each is a group
+    group = [F.col("component"), *(F.when(F.col("component").isNull(), F.col(c)).alias("own_" + c) for c in ("set1", "set2"))]
+    best = firsts.groupBy(*group).agg(F.min("first").alias("best"))
+    mark, at, seen = (fresh(c, docs.columns) for c in ("_mark", "_kept_id", "_kept_mark"))
+    stay = best.select(F.col("best.doc_id").alias(at), F.col("best.mark").alias(seen))
+    bare = signed.where("n_shingles = 0").select(F.col("doc_id").alias(at), F.col("mark").alias(seen))
+    kept = stored(stay.unionByName(bare).distinct(), "near_kept")
+    marked = docs.withColumn(mark, F.xxhash64(text_col))
+    left = marked.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(at)) & (F.col(mark) == F.col(seen)), "left_semi")
+    return left.dropDuplicates([id_col, mark]).drop(mark)
+
+
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), percent=85, side=8)
 

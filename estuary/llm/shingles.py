@@ -28,6 +28,21 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
+_PRIME = np.uint64((1 << 31) - 1)
+_BASES = (1_000_003_919, 1_584_931_031)
+_MODULAR: dict[int, np.ndarray] = {}
+
+
+def modular_powers(base: int, n: int) -> np.ndarray:
+    """Powers of a base modulo the prime, kept for later calls."""
+    have = _MODULAR.get(base, np.ones(1, dtype=np.uint64))
+    while len(have) < n:
+        step = np.uint64(pow(base, len(have), int(_PRIME)))
+        have = np.concatenate([have, have * step % _PRIME])
+    _MODULAR[base] = have
+    return have[:n]
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and the number of words of each text.
 
@@ -39,10 +54,16 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     solid = ~((data == 32) | ((data >= 9) & (data <= 13)))
     edge = np.flatnonzero(np.diff(np.concatenate([[False], solid, [False]]).view(np.int8)))
     begin, end = edge[::2], edge[1::2]
-    power, inverse = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=total[1:])
-    hashes = mix((total[end] - total[begin]) * inverse[begin] + (end - begin).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+    # two polynomials modulo a prime: modulo a power of two, words of equal
+    # length can have equal hashes whatever the base (Thue-Morse words do)
+    halves = []
+    for base in _BASES:
+        power = modular_powers(base, len(data) + 1)
+        total = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)] % _PRIME, out=total[1:])
+        inverse = modular_powers(pow(base, -1, int(_PRIME)), len(data) + 1)
+        halves.append((total[end] - total[begin]) % _PRIME * inverse[begin] % _PRIME)
+    hashes = mix(((halves[0] << np.uint64(32)) | halves[1]) + (end - begin).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
     stops = np.cumsum(sizes)
     counts = np.diff(np.concatenate([[0], np.searchsorted(begin, stops)]))
     return hashes, counts

@@ -351,10 +351,15 @@ class Scorer:
     @staticmethod
     def top(words: list[str], look) -> tuple[float, float]:
         """The two largest margins among distinct words; spellings that differ in case or marks are one word."""
-        best = sorted(set(words), key=look)[-8:]
-        first = look(best[-1]) if best else EMPTY_MARGIN
-        rest = [look(w) for w in best[:-1] if plain(w) != plain(best[-1])]
-        return first, rest[-1] if rest else EMPTY_MARGIN
+        best = second = EMPTY_MARGIN
+        top = None
+        for margin, w in sorted(((look(w), w) for w in set(words)), reverse=True):
+            if top is None:
+                top, best = plain(w), margin
+            elif plain(w) != top:
+                second = margin
+                break
+        return best, second
 
 
 def score_documents(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

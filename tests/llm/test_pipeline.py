@@ -64,3 +64,15 @@ def test_near_duplicates_from_four_fifths(spark):
     missed = {i for i in kept if i % 2} - {1001}
     assert len(missed) <= 2  # tables miss one pair in a thousand; with 0.85 all 199 stayed
     assert near_dedup.side_for(80) == 12
+
+
+def test_near_duplicates_keep_every_text(spark):
+    """Texts that share an id are judged each on its own; a null id leaves where its text has another id."""
+    a, b, c, e = (" ".join(f"{k}{i}" for i in range(12)) for k in "abce")
+    rows = [(1, a), (5, a), (5, b), (7, c), (7, e), (None, a), (None, "d " * 9), (None, "d " * 9), (8, ""), (8, ""), (8, None), (9, "!")]
+    for parts in (1, 4):
+        docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, m int").repartition(parts)
+        kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+        assert kept.columns == docs.columns
+        want = [(1, a), (5, b), (7, c), (7, e), (None, "d " * 9), (8, ""), (8, None), (9, "!")]
+        assert sorted((tuple(r)[:2] for r in kept.collect()), key=repr) == sorted(want, key=repr)

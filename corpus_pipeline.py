@@ -2,18 +2,18 @@
 
 Every stage takes all rows its predecessor kept.  Filtering stages keep rows
 of unknown standing: a document leaves only if it is found toxic, or if it is
-not the first of its near-duplicate group.  Rows that repeat an id are one
-document, of which one row stays.  Tables may have further columns of any
+not the first of its near-duplicate group.  A document is an id and its text:
+of rows that repeat both one stays, another text under the same id stays
+unless it has a near duplicate itself.  Tables may have further columns of any
 name; they are passed on.  An empty table passes through every stage.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from estuary.llm import near_dedup, packing, pii, suffix_dedup, toxicity
-from estuary.llm.common import fresh, stored, table
+from estuary.llm.common import stored, table
 
 #: Shingle similarity of near duplicates, in percent; op4_minhash_dedup's own 85 is that query's.
 NEAR_PERCENT = 80
@@ -26,14 +26,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of every group of near duplicates; documents without words or id stay."""
-    found = near_dedup.near_groups(docs, NEAR_PERCENT)
-    gone = stored(found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct(), "near_gone")
-    other = gone.withColumnRenamed("_gone", fresh("_gone", docs.columns))
-    left = docs.join(other, docs["doc_id"] == other[other.columns[0]], "left_anti")
-    mark = fresh("_text", docs.columns)
-    # a repeated row has its id's hash partition, so this deals nothing anew; null ids are told apart by text
-    return left.withColumn(mark, F.when(F.col("doc_id").isNull(), F.col("text"))).dropDuplicates(["doc_id", mark]).select(*docs.columns)
+    """One document of every group of near duplicates, that of the smallest id; documents without words stay."""
+    return near_dedup.keep_one(docs, NEAR_PERCENT)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,8 +18,8 @@ probability ``MEET`` under independent hashes (12 at 80 percent, where 0.9994 of
 
 Defined results: a null text, or one without words, has the empty set, is
 linked with nothing and is its own component; where an id repeats, each row
-takes the group of its own text; rows with a null id are grouped by equal set only, with the
-smallest id of that set, or null where it has none (such rows are kept).
+takes the group of its own text; rows with a null id are grouped like others, and
+a group without any id has the component null, all its rows kept.
 Only the id and text columns are read, others are passed on by ``keep_one``; texts of
 any length are taken whole, ties in size of a group go to the smaller id, and
 an empty table gives no rows.
@@ -181,7 +181,7 @@ def verified_links(members: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def with_sets(docs: DataFrame, nodes: DataFrame, words: int = WORDS) -> DataFrame:
-    """(node, shingles) of the texts of the given ids."""
+    """(node, shingles), from rows (doc_id, text, mark) and (node, doc_id, mark) of one document for each node."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             sets = shingle_sets(bytes_of(batch), words)
@@ -190,27 +190,35 @@ def with_sets(docs: DataFrame, nodes: DataFrame, words: int = WORDS) -> DataFram
                                               np.array([len(s) for s in sets], dtype=np.int64), pa.int64())],
                 names=["node", "shingles"])
 
-    return docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(
-        run, "node bigint, shingles array<bigint>")
+    at = nodes.select("node", F.col("doc_id").alias("at"), F.col("mark").alias("seen"))
+    found = docs.join(at, F.col("doc_id").eqNullSafe(F.col("at")) & (F.col("mark") == F.col("seen")))
+    return found.select("node", "text").dropDuplicates(["node"]).mapInArrow(run, "node bigint, shingles array<bigint>")
 
 
 def grouped(docs: DataFrame, percent: int, words: int, id_col: str, text_col: str, side: int | None) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, mark, n_shingles, set1, set2) of every row, and (set1, set2, component) of every set; ``mark`` is the text's hash."""
+    """(doc_id, mark, n_shingles, set1, set2) of every row, and (set1, set2, best) of every set.
+
+    ``mark`` is the text's hash, ``best`` the (nil, doc_id, mark) of the
+    least document of the set's group: ids before null, then by id and mark.
+    Sets are numbered when they are written, so nodes do not depend on ids.
+    """
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("mark"))
     side = side or side_for(percent)
     signed = stored(signatures(rows, side, words), "signatures")
+    place = F.struct(F.col("doc_id").isNull().alias("nil"), "doc_id", "mark")
     # a class's half keys are equal in all its rows
-    classes = stored(signed.where("n_shingles > 0").groupBy("set1", "set2").agg(
-        F.min("doc_id").alias("rep"), F.first("halves").alias("halves")), "classes")
-    blocks = stored(components(candidate_links(classes.where("rep is not null"), side)), "blocks")
+    classes = stored(signed.where("n_shingles > 0").groupBy("set1", "set2").agg(F.min(place).alias("first"), F.first("halves").alias("halves"))
+                     .withColumn("rep", F.monotonically_increasing_id()), "classes")
+    blocks = stored(components(candidate_links(classes, side)), "blocks")
     units = stored(cells(blocks), "cells")
-    sets = with_sets(rows, blocks, words)
-    links = stored(verified_links(units.join(sets, "node"), percent), "verified")
+    nodes = classes.select(F.col("rep").alias("node"), "first.doc_id", "first.mark").join(blocks.select("node"), "node")
+    links = stored(verified_links(units.join(with_sets(rows, nodes, words), "node"), percent), "verified")
     label = components(links)
-    groups = stored(classes.join(label.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "set1", "set2", F.coalesce("component", "rep").alias("component")), "groups")
-    return signed.drop("halves"), groups
+    joined = stored(classes.join(label.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
+        "set1", "set2", "first", F.coalesce("component", "rep").alias("component")), "groups")
+    best = joined.groupBy("component").agg(F.min("first").alias("best"))
+    return signed.drop("halves"), stored(joined.join(best, "component").select("set1", "set2", "best"), "best")
 
 
 def near_groups(docs: DataFrame, percent: int = PERCENT, words: int = WORDS,
@@ -218,7 +226,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, words: int = WORDS,
     """(doc_id, n_shingles, component_id, kept) for every row."""
     signed, groups = grouped(docs, percent, words, id_col, text_col, side)
     found = signed.join(groups, ["set1", "set2"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
+    component = F.when(F.col("n_shingles") > 0, F.col("best.doc_id")).otherwise(F.col("doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
@@ -232,14 +240,8 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, words: int = WORDS,
     words are in no group: one of each id and text stays.
     """
     signed, groups = grouped(docs, percent, words, id_col, text_col, None)
-    full = signed.where("n_shingles > 0")
-    place = F.struct(F.col("doc_id").isNull().alias("nil"), "doc_id", "mark")
-    firsts = full.groupBy("set1", "set2").agg(F.min(place).alias("first")).join(groups, ["set1", "set2"])
-    # sets of null ids only have no component: each is a group
-    group = [F.col("component"), *(F.when(F.col("component").isNull(), F.col(c)).alias("own_" + c) for c in ("set1", "set2"))]
-    best = firsts.groupBy(*group).agg(F.min("first").alias("best"))
     mark, at, seen = (fresh(c, docs.columns) for c in ("_mark", "_kept_id", "_kept_mark"))
-    stay = best.select(F.col("best.doc_id").alias(at), F.col("best.mark").alias(seen))
+    stay = groups.select(F.col("best.doc_id").alias(at), F.col("best.mark").alias(seen))
     bare = signed.where("n_shingles = 0").select(F.col("doc_id").alias(at), F.col("mark").alias(seen))
     kept = stored(stay.unionByName(bare).distinct(), "near_kept")
     marked = docs.withColumn(mark, F.xxhash64(text_col))

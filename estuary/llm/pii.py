@@ -13,8 +13,9 @@ in documents, a term discloses an entity if
 * over the documents that show both they add up to ``MIN_SUPPORT * MIN_BITS``, so
   that rare words beside a frequent entity by chance do not count.
 
-A term is a whole run of letters and digits of any length, in any script; only
-the six function words of ``NOT_TERMS`` are none.
+A term is a whole run of letters and digits of any length, in any script.  No
+word is exempt: what a common word shares with an entity is measured against
+all documents that hold it.
 Such terms are spans of kind ``term`` wherever they stand outside base spans, in
 every document, with that entity or without it; ``sanitised`` puts a kind's name for each span.
 
@@ -33,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estuary.llm.common import fresh, stored, table
+from estuary.llm.text_spans import SPANS, matches, outside
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_SUPPORT, MIN_SHARE, MIN_BITS, MIN_PART = 2, 0.5, 3.0, 0.5
@@ -48,24 +50,8 @@ PATTERNS = {
 }
 _BYTE = "0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 TERM = r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++"
-NOT_TERMS = ("and", "at", "by", "for", "of", "the")  # in any case; no one's name or number
-SPAN_TYPE = "array<struct<s:int,e:int,v:string>>"
-PLACE_TYPE, BLOCK = "array<struct<s:int,e:int,h:bigint>>", 256
-
-
-def matches(text: Column, pattern: str) -> Column:
-    """Start, end and text of every match, leftmost and non-overlapping."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN_TYPE).alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + F.length(x["g"])
-        e = s + F.length(x["m"])
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("v")))).alias("out"))
-
-    pairs = F.zip_with(F.slice(gaps, 1, F.greatest(F.size(gaps) - 1, F.lit(0))), found, lambda g, m: F.struct(g.alias("g"), m.alias("m")))
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+#: Telling terms that every executor may hold, 16 bytes each; more are joined by shuffle.
+MAX_HELD_TERMS = 2_000_000
 
 
 def digits(v: Column) -> Column:
@@ -96,7 +82,7 @@ def base_spans(kind: str, text: Column) -> Column:
     """Spans of one kind; the costly search runs only where its rarest sign occurs."""
     sign = {"email": text.contains("@"), "phone": text.contains("+")}.get(kind, text.rlike("[0-9][. -]?[0-9]"))
     found = F.filter(matches(text, PATTERNS[kind]), lambda x: valid(kind, x["v"]))
-    return F.when(sign, found).otherwise(F.array().cast(SPAN_TYPE))
+    return F.when(sign, found).otherwise(F.array().cast(SPANS))
 
 
 def entity(kind: str, v: Column) -> Column:
@@ -104,31 +90,8 @@ def entity(kind: str, v: Column) -> Column:
 
 
 def words_at(text: Column) -> Column:
-    """Start, end and hash of every term of a text, in order; summed up in blocks, as each step copies its list."""
-    found = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
-    pairs = F.zip_with(F.slice(F.split(text, TERM, -1), F.lit(1), F.size(found)), found, lambda g, m: F.struct(
-        F.length(g).alias("g"), F.length(m).alias("n"), F.xxhash64(F.lower(m)).alias("h")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(PLACE_TYPE).alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + x["g"]
-        e = s + x["n"]
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["h"].alias("h")))).alias("out"))
-
-    def after(acc: Column, b: Column) -> Column:
-        moved = F.transform(b["out"], lambda x: F.struct((x["s"] + acc["at"]).alias("s"), (x["e"] + acc["at"]).alias("e"), x["h"].alias("h")))
-        return F.struct((acc["at"] + b["at"]).alias("at"), F.concat(acc["out"], moved).alias("out"))
-
-    def placed(p: Column) -> Column:
-        last = F.greatest(F.floor((F.size(p) - 1) / BLOCK).cast("int"), F.lit(0))
-        blocks = F.transform(F.sequence(F.lit(0), last), lambda k: F.aggregate(F.slice(p, k * BLOCK + 1, F.lit(BLOCK)), start, step))
-        return F.aggregate(blocks, start, after, lambda acc: acc["out"])
-
-    return F.transform(F.array(pairs), placed)[0]  # evaluates the pairs once
-
-
-def outside(words: Column, spans: Column) -> Column:
-    return F.filter(words, lambda x: ~F.exists(spans, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+    """Start, end and hash of every term of a text, in order."""
+    return F.transform(matches(text, TERM), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.xxhash64(F.lower(x["v"])).alias("h")))
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -168,7 +131,7 @@ def telling_terms(docs: DataFrame, found: DataFrame, text_col: str) -> DataFrame
     pairs = stored(held.select(F.explode("entities").alias("entity"), "shown").select("entity", F.explode("shown").alias("th"))
                    .groupBy("entity", "th").agg(F.count(F.lit(1)).alias("nte")).where(F.col("nte") >= MIN_SUPPORT), "term_pairs")
     entities = stored(held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("ne")), "entities")
-    counts = term_counts(docs, text_col).where((F.col("nt") >= MIN_SUPPORT) & ~F.col("th").isin(*(F.xxhash64(F.lit(w)) for w in NOT_TERMS)))
+    counts = term_counts(docs, text_col).where(F.col("nt") >= MIN_SUPPORT)
     total = found.count()
     own = F.log2(F.lit(float(total)) / F.col("ne"))
     bits = F.log2(F.col("nte") * F.lit(float(total)) / (F.col("nt") * F.col("ne")))
@@ -177,14 +140,17 @@ def telling_terms(docs: DataFrame, found: DataFrame, text_col: str) -> DataFrame
 
 
 def disclosing(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, h, terms): where telling terms stand, in every text that holds any; one row for repeated ones."""
+    """(id, h, terms): where telling terms stand, in every text that holds any; one row for repeated ones.
+
+    The places of all terms meet the telling ones, and only what is found is
+    dealt, to be put together again for each text: texts are never dealt.
+    """
     telling = telling_terms(docs, found, text_col)
-    texts = keyed(docs, id_col, text_col)
-    hits = stored(texts.select("id", "h", F.explode(term_hashes(F.col("t"))).alias("th")).join(telling, "th")
-                  .groupBy("id", "h").agg(F.collect_set("th").alias("ths")), "term_hits").select(F.col("id").alias("hid"), F.col("h").alias("hh"), "ths")
-    both = texts.join(hits, F.col("id").eqNullSafe(F.col("hid")) & (F.col("h") == F.col("hh")))
-    here = F.filter(words_at(F.col("t")), lambda x: F.array_contains(F.col("ths"), x["h"]))
-    return both.select("id", "h", F.transform(here, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias("terms")).dropDuplicates(["id", "h"])
+    if telling.limit(MAX_HELD_TERMS + 1).count() <= MAX_HELD_TERMS:
+        telling = F.broadcast(telling)
+    places = keyed(docs, id_col, text_col).select("id", "h", F.explode(words_at(F.col("t"))).alias("w"))
+    hits = places.select("id", "h", "w.s", "w.e", F.col("w.h").alias("th")).join(telling, "th", "left_semi")
+    return hits.groupBy("id", "h").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("terms"))
 
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

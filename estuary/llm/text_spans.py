@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPANS = "array<struct<s:int,e:int,v:string>>"
-_CUT, _DEPTH = 64, 2
+_CUT, _DEPTH = 24, 2
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -63,3 +63,58 @@ def test_kernel_equals_naive_subsequences():
         for b, value in zip(marks, row):
             (fa, na), (fb, nb) = naive_features(a), naive_features(b)
             assert abs(float(value) - sum(v * fb.get(x, 0.0) for x, v in fa.items()) / (na * nb)) < 2e-3  # half precision
+
+
+def test_term_counts_equal_sql(spark):
+    """Telling terms against the same counts in SQL, with words that are common, rare, beside one entity and beside several."""
+    import random
+
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from estuary.llm import pii
+    rnd = random.Random(12)
+    common, rare = [f"word{k}" for k in range(30)], [f"Name{k}" for k in range(40)]
+    rows = []
+    for k in range(300):
+        words = [rnd.choice(common) for _ in range(12)]
+        if k % 3 == 0:
+            e = rnd.randrange(12)
+            words += [f"user{e}@x.org", rare[e], rnd.choice(rare), "the" if e < 3 else "and"]
+        elif k % 7 == 0:
+            words += [rnd.choice(rare), "and"]
+        rnd.shuffle(words)
+        rows.append((k, " ".join(words)))
+    rows += rows[:4]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = pii.found_in(docs, "doc_id", "text").cache()
+    names = {r["h"]: r["w"] for r in docs.select(F.explode(F.split("text", " ")).alias("w")).select("w", F.xxhash64(F.lower("w")).alias("h")).distinct().collect()}
+    got = {names[r[0]] for r in pii.telling_terms(docs, found, "text").collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE d (n BIGINT, w VARCHAR)")
+    con.executemany("INSERT INTO d VALUES (?, ?)", [(n, w) for n, (_, t) in enumerate(rows) for w in set(t.split())])
+    want = con.execute(f"""
+      WITH e AS (SELECT n, w AS entity FROM d WHERE contains(w, '@')), t AS (SELECT n, w FROM d WHERE NOT contains(w, '@')),
+      ne AS (SELECT entity, count(*) AS ne FROM e GROUP BY 1), nt AS (SELECT w, count(*) AS nt FROM t GROUP BY 1),
+      both_ AS (SELECT w, entity, count(*) AS nte FROM e JOIN t USING (n) GROUP BY 1, 2)
+      SELECT DISTINCT w FROM both_ JOIN ne USING (entity) JOIN nt USING (w)
+      WHERE nte >= {pii.MIN_SUPPORT} AND nte >= {pii.MIN_SHARE} * nt
+        AND log2(nte * {len(rows)}.0 / (nt * ne)) >= {pii.MIN_PART} * log2({len(rows)}.0 / ne)
+        AND nte * log2(nte * {len(rows)}.0 / (nt * ne)) >= {pii.MIN_SUPPORT * pii.MIN_BITS}""").fetchall()
+    assert got == {w for w, in want} and len(got) > 3
+
+
+def test_places_of_terms_in_a_long_text(spark):
+    """Megabytes of text in time that grows with its length."""
+    import time
+
+    from estuary.llm import pii
+    texts = [("Quorl wrote " + "plain words " * n) + "mail q@x.org" for n in (20_000, 200_000)]
+    seconds = []
+    for t in texts:
+        docs = spark.createDataFrame([(1, t), (2, t), *((k, "plain words mail wrote") for k in range(3, 30))], "doc_id long, text string")
+        start = time.time()
+        spans = {r["id"]: [tuple(s) for s in r["term"]] for r in pii.detect(docs).where("id < 3").collect()}
+        seconds.append(time.time() - start)
+        assert spans == {1: [(0, 5)], 2: [(0, 5)]}
+    assert seconds[1] < 20 * seconds[0] + 60

@@ -295,7 +295,7 @@ def test_base_spans_equal_regex(spark):
 
 
 def test_disclosing_terms(spark):
-    rows = [(i, f"call Zebulon today at z.ebulon@mail.org number {i}x") for i in range(3)] + [(10 + i, f"today nothing of note number {i}") for i in range(40)]
+    rows = [(i, f"call Zebulon today at z.ebulon@mail.org number {i}x") for i in range(3)] + [(10 + i, f"today nothing of note at number {i}") for i in range(40)]
     out = pii.detect(spark.createDataFrame(rows, "doc_id long, text string")).where("size(email) > 0").collect()
     assert len(out) == 3 and all([rows[0][1][s:e] for s, e in r.term] == ["call", "Zebulon"] for r in out if r.id == 0)
     texts = [r.text for r in pii.sanitised(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id = 0").collect()]
@@ -328,7 +328,7 @@ def test_disclosing_terms_of_any_length(spark):
 def test_disclosing_terms_of_a_hot_entity(spark):
     """An entity in a third of the rows: a term beside it alone is found, a word spread evenly is not."""
     rows = [(i, f"{'Quorl' if i < 8 else 'and'} sent {'even' if i % 2 else 'odd'} mail x@y.org") for i in range(20)]
-    rows += [(100 + i, f"sent {'even' if i % 2 else 'odd'} mail") for i in range(40)]
+    rows += [(100 + i, f"sent and {'even' if i % 2 else 'odd'} mail") for i in range(40)]
     got = terms_by_id(spark, rows)
     assert all(got[i] == (["Quorl"] if i < 8 else []) for i in range(20)) and not any(got[100 + i] for i in range(40))
 

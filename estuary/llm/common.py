@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,25 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps(owner: str, clear: Callable[[], None]) -> None:
+    """Name what a worker keeps between the tasks of one operator, and how to drop it."""
+    _KEPT[owner] = clear
+
+
+def drop_kept(but: str = "") -> None:
+    """Drop what this worker keeps of other operators; called where a task of another one begins.
+
+    Workers are used again by later stages, whose memory it would take.
+    """
+    for owner, clear in _KEPT.items():
+        if owner != but:
+            clear()
+    pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -13,6 +13,8 @@ from array import array
 from collections.abc import Callable
 from itertools import chain, islice
 
+from estuary.llm.common import keeps
+
 
 #: Pieces that a worker keeps; beyond it the later half goes.  The pieces met
 #: first are the frequent ones, so the half that stays serves most of a text.
@@ -74,6 +76,7 @@ class PieceEncoder:
 
 
 _LIBRARY: dict[str, PieceEncoder] = {}
+keeps("pieces", _LIBRARY.clear)
 
 
 def library_encoder(path: str) -> PieceEncoder:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estuary.llm.common import bytes_of, fresh, list_column, ship_package, slices, stored, table
+from estuary.llm.common import bytes_of, drop_kept, fresh, list_column, ship_package, slices, stored, table
 from estuary.llm.graphs import components
 from estuary.llm.shingles import WORDS, mix, shingle_sets
 
@@ -80,7 +80,8 @@ def half_keys(sets: list[np.ndarray], side: int) -> np.ndarray:
 def signatures(docs: DataFrame, side: int, words: int = WORDS) -> DataFrame:
     """(doc_id, mark, n_shingles, set1, set2, halves) of (doc_id, text, mark): a 128-bit set hash and the half keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
+        drop_kept("shingles")
+        for batch in slices(batches, "text", 1 << 19):
             sets = shingle_sets(bytes_of(batch), words)
             full = [k for k, s in enumerate(sets) if len(s)]
             halves, lengths = np.zeros((0, 2 * side), dtype=np.uint64), np.zeros(len(sets), dtype=np.int64)
@@ -183,7 +184,8 @@ def verified_links(members: DataFrame, percent: int = PERCENT) -> DataFrame:
 def with_sets(docs: DataFrame, nodes: DataFrame, words: int = WORDS) -> DataFrame:
     """(node, shingles), from rows (doc_id, text, mark) and (node, doc_id, mark) of one document for each node."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
+        drop_kept("shingles")
+        for batch in slices(batches, "text", 1 << 19):
             sets = shingle_sets(bytes_of(batch), words)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), list_column(np.concatenate([*sets, np.zeros(0, dtype=np.uint64)]).view(np.int64),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from estuary.llm.common import keeps
+
 WORDS = 5
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
@@ -31,14 +33,15 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _PRIME = np.uint64((1 << 31) - 1)
 _BASES = (1_000_003_919, 1_584_931_031)
 _MODULAR: dict[int, np.ndarray] = {}
+keeps("shingles", _MODULAR.clear)
 
 
 def modular_powers(base: int, n: int) -> np.ndarray:
     """Powers of a base modulo the prime, kept for later calls."""
-    have = _MODULAR.get(base, np.ones(1, dtype=np.uint64))
+    have = _MODULAR.get(base, np.ones(1, dtype=np.uint32))
     while len(have) < n:
         step = np.uint64(pow(base, len(have), int(_PRIME)))
-        have = np.concatenate([have, have * step % _PRIME])
+        have = np.concatenate([have, (have * step % _PRIME).astype(np.uint32)])
     _MODULAR[base] = have
     return have[:n]
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from estuary.llm.common import bytes_of, fresh, ship_package, slices, stored, table
+from estuary.llm.common import bytes_of, drop_kept, fresh, ship_package, slices, stored, table
 from estuary.llm.shingles import mix, powers
 
 LENGTH = 100
@@ -139,6 +139,7 @@ def _settled_string(rid, pos):
 def block_rows(rows: DataFrame) -> DataFrame:
     """Round 1 input: a row for each block, but those settled in their slice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for batch in slices(batches, "text", 1 << 20):
             spans = Spans(bytes_of(batch))
             anchor, low, high, grams = blocks(spans, LENGTH, SEED)

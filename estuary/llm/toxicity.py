@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estuary.llm.common import ship_package, slices, table, texts_of
+from estuary.llm.common import drop_kept, ship_package, slices, table, texts_of
 
 MAX_DOCS = 1000
 MAX_CHARS = 20_000
@@ -368,6 +368,7 @@ def score_documents(docs: DataFrame, model: Model | None, id_col: str = "doc_id"
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one weight a feature: 1 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         scorer = Scorer(shared.value)
         for batch in slices(batches, "text"):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scorer.scores(texts_of(batch)))], names=["doc_id", "score"])
@@ -383,6 +384,7 @@ def keep_clean(docs: DataFrame, model: Model | None, text_col: str = "text") ->
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         scorer = Scorer(shared.value)
         for batch in slices(batches, text_col):
             yield batch.filter(pa.array(scorer.scores(texts_of(batch, text_col)) < THRESHOLD))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estuary.config import EXPORT_VARS, INDEX_KEEP, SEAGRASS_KEEP
-from estuary.functions.rsem import asc_nulls_last, drop_clashing, keep_existing
+from estuary.functions.rsem import asc_nulls_last, drop_clashing, keep_existing, q
 
 SEAGRASS_CHECK = ["reference", "latitude", "longitude", "year", "sgyear", "acres", "mngacre",
                   "FLUCCSCODE", "month", "gear", "TB_seg", "TBEP_seg", "season", "TBNI_Score",
@@ -25,19 +25,18 @@ def enrich(fld: DataFrame, index: DataFrame, seagrass: DataFrame) -> DataFrame:
 def hauls_first_without(df: DataFrame, test: str, order: list[str] | None = None) -> DataFrame:
     """The first row (by ``order``, NULLs last) of every haul whose first row has no ``test`` value.
 
-    The first place of a haul is the least of (order key, has a value): an
-    aggregate over these few columns, combined map-side.  Only then are the
-    whole rows fetched, by a semi join with the places that lack a value.
-    Rows of one place differ in no ordering column; the one of least hash stays."""
+    One aggregate picks the whole row: the least of (order key, has a value, hash),
+    with the row itself carried only where it lacks a value, as no other row can be
+    reported.  Its input is computed once, and where the rows are already dealt by
+    haul, as after the joins, nothing is dealt again.  Rows of one place differ in no
+    ordering column; the one of least hash stays."""
     order = [o for o in (order or ROW_ORDER) if o in df.columns]
+    cols = [F.col(q(c)) for c in df.columns]
+    lacks = F.col(q(test)).isNull()
     place = F.struct(*(F.struct(*(k.alias(f"k{i}") for i, k in enumerate(asc_nulls_last(o)))).alias(o) for o in order),
-                     F.col(test).isNotNull().alias("_has"))
-    first = df.groupBy("reference").agg(F.min(place).alias("_first")).where(~F.col("_first._has"))
-    found = first.select(F.col("reference").alias("_ref"), "_first")
-    rows = df.where(F.col(test).isNull())
-    rows = rows.join(found, (rows["reference"] == F.col("_ref")) & (place == F.col("_first")), "left_semi")
-    one = F.row_number().over(Window.partitionBy("reference").orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))))
-    return rows.withColumn("_one", one).where("_one = 1").drop("_one")
+                     (~lacks).alias("_has"), F.when(lacks, F.xxhash64(*cols)).alias("_hash"))
+    first = df.groupBy("reference").agg(F.min_by(F.when(lacks, F.struct(*cols)), place).alias("_row"))
+    return first.where(F.col("_row").isNotNull()).select(*(F.col("_row").getField(c).alias(c) for c in df.columns))
 
 
 def missing_index(df: DataFrame) -> DataFrame:

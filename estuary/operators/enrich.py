@@ -29,13 +29,13 @@ def hauls_first_without(df: DataFrame, test: str, order: list[str] | None = None
     with the row itself carried only where it lacks a value, as no other row can be
     reported.  Its input is computed once, and where the rows are already dealt by
     haul, as after the joins, nothing is dealt again.  Rows of one place differ in no
-    ordering column; the one of least hash stays."""
+    ordering column; the one of least hash stays.  Rows without a haul are not reported."""
     order = [o for o in (order or ROW_ORDER) if o in df.columns]
     cols = [F.col(q(c)) for c in df.columns]
     lacks = F.col(q(test)).isNull()
     place = F.struct(*(F.struct(*(k.alias(f"k{i}") for i, k in enumerate(asc_nulls_last(o)))).alias(o) for o in order),
                      (~lacks).alias("_has"), F.when(lacks, F.xxhash64(*cols)).alias("_hash"))
-    first = df.groupBy("reference").agg(F.min_by(F.when(lacks, F.struct(*cols)), place).alias("_row"))
+    first = df.where(F.col("reference").isNotNull()).groupBy("reference").agg(F.min_by(F.when(lacks, F.struct(*cols)), place).alias("_row"))
     return first.where(F.col("_row").isNotNull()).select(*(F.col("_row").getField(c).alias(c) for c in df.columns))
 
 

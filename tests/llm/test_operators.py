@@ -97,6 +97,29 @@ def test_pieces_equal_whole_texts(path):
     assert got == [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_new_words_are_encoded_together(path, monkeypatch):
+    from estuary.llm import encoding
+
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("etaoinshrdluEA\u00e9\u00df\u00c4") for _ in range(rnd.randrange(1, 12))) for _ in range(800)]
+    texts = [" ".join(words), ", ".join(words) + ".", " ".join(w + rnd.choice(["!", "###", "&&&.", ");", "'s", "\u0301,"]) for w in words[:99]),
+             "\n".join(words[:99]) + "\n", "a\n\n\nb,\n c\td.\r\ne\n", "\nfoo\n-bar:\nfoo<|endoftext|>, x,<|endoftext|>\ny\u0130, \u00b5."]
+    monkeypatch.setattr(encoding, "_LIBRARY", {})
+    encoder = encoding.library_encoder(path)
+    new, alone = encoder.encode_new.__self__, []
+    singly = new._singly
+    monkeypatch.setattr(new, "_singly", lambda pieces: (alone.extend(pieces), singly(pieces))[1])
+    assert encoder.encode(texts[:1]) and len(alone) < 10
+    assert encoder.encode(texts[:2]) and len(alone) < 10  # the words with commas hold known words
+    monkeypatch.setattr(encoding, "MAX_PIECES", 300)
+    monkeypatch.setattr(encoding, "MAX_MARKS", 2)
+    library = Tokenizer.from_file(path)
+    for some in (texts, *([x] for x in texts), texts):
+        got = [np.frombuffer(x, dtype="<u4").tolist() for x in encoder.encode(some)]
+        assert got == [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
+
+
 def test_token_files(spark, odd):
     path = scratch_path(spark, "test")
     token_output.write_token_files(odd, path, WORD)

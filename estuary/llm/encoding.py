@@ -2,7 +2,9 @@
 
 Both vocabularies split a text at white space before any merge, so a text is
 encoded as the concatenation of its pieces.  A piece's ids are kept as
-little-endian uint32 bytes: a text's ids are one ``join`` of cached values.
+little-endian uint32 bytes.  Arrow splits the texts and numbers their distinct
+pieces, so that Python looks each of these up once, and strings the cached
+values together.
 Pieces met for the first time take most of the time.  Marks at the end of a
 word are cut off where both patterns end a token, so that a word with a comma
 is made of parts mostly known, and new words are encoded many at a time.
@@ -15,9 +17,11 @@ import os
 import re
 from array import array
 from collections.abc import Callable
-from itertools import chain, compress
+from itertools import compress
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from estuary.llm.common import keeps
 
@@ -76,6 +80,26 @@ def cut_lines(text: str) -> tuple[str, list[str]]:
     return cut_spaced(text)
 
 
+#: Written between the pieces of a text; a text that holds it is cut in Python.
+_APART = "\0"
+
+
+def _is_regular(text: str) -> bool:
+    """Whether every blank of the text is a lone one."""
+    return not any(d in text for d in _DOUBLES) and text[:1] != " " and text[-1:] != " " and not _RARE_SPACE.search(text)
+
+
+def apart(text: str, spaced: bool, divides: bool) -> tuple[str, str | None]:
+    """What ``cut_words``, ``cut_spaced`` or ``cut_lines`` give, the pieces in one string (None: there is none)."""
+    if spaced and _is_regular(text):
+        if divides and "\n" in text and not any(d in text for d in ("\n\n", "\t", "\r")):
+            text = text.replace("\n", " \n")
+        first, blank, rest = text.partition(" ")
+        return first, rest.replace(" ", _APART) if blank else None
+    first, rest = cut_spaced(text) if spaced else cut_words(text)
+    return first, _APART.join(rest) if rest else None
+
+
 def _drop_later(known: dict[str, bytes], new: int, most: int) -> bool:
     """Whether the later half had to go to make room for ``new`` pieces."""
     if len(known) + new <= most:
@@ -109,16 +133,13 @@ class PieceEncoder:
     def _encode_rests(self, pieces: list[str]) -> list[bytes]:
         return self.encode_new([x if x[:1] == "\n" else " " + x for x in pieces] if self.spaced else pieces)
 
-    def _learn_rests(self, wanted: set[str]) -> None:
+    def _learn_rests(self, new: list[str]) -> None:
         """Lists of strings only: a tuple for each piece would keep the garbage collector busy."""
         known = self.rests
-        new = wanted.difference(known)
-        # a divided piece may add its word
-        if _drop_later(known, 2 * len(new), MAX_PIECES):
-            new = wanted.difference(known)
-        words = [x for x in new if x.isalpha()] if self.divides else list(new)
+        _drop_later(known, 2 * len(new), MAX_PIECES)  # a divided piece may add its word
+        words = [x for x in new if x.isalpha()] if self.divides else new
         known.update(zip(words, self._encode_rests(words)))
-        others = list(new.difference(words))
+        others = [x for x in new if not x.isalpha()] if self.divides else []
         if others:
             heads = [y if y[-1:] in _LETTERS else x for x, y in zip(others, [x.rstrip(_MARKS) for x in others])]
             more = list(set(heads).difference(known))
@@ -127,13 +148,42 @@ class PieceEncoder:
             self._learn(self.marks, set(tails), MAX_MARKS)
             known.update(zip(others, [known[x] + self.marks[y] for x, y in zip(heads, tails)]))
 
+    def _rests_of(self, distinct: list[str]) -> list[bytes]:
+        """Ids of distinct pieces; only the new ones are looked up again."""
+        found = list(map(self.rests.get, distinct))
+        new = [x for x, y in zip(distinct, found) if y is None]
+        if new:
+            self._learn_rests(new)
+            learnt = map(self.rests.__getitem__, new)
+            found = [next(learnt) if y is None else y for y in found]
+        return found
+
+    def _encode_cut(self, text: str) -> bytes:
+        """Ids of one text, cut in Python."""
+        first, rest = self.cut(text)
+        self._learn(self.firsts, {first}, MAX_PIECES)
+        distinct = list(set(rest))
+        ids = dict(zip(distinct, self._rests_of(distinct)))
+        return b"".join((self.firsts[first], *map(ids.__getitem__, rest)))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian uint32 bytes."""
-        cuts = [self.cut(t) for t in texts]
-        self._learn(self.firsts, {a for a, _ in cuts}, MAX_PIECES)
-        self._learn_rests(set(chain.from_iterable(b for _, b in cuts)))
-        first, rest = self.firsts, self.rests.__getitem__
-        return [b"".join((first[a], *map(rest, b))) for a, b in cuts]
+        if any(_APART in t for t in texts):
+            return [self._encode_cut(t) if _APART in t else self.encode([t])[0] for t in texts]
+        if not texts:
+            return []
+        firsts, rests = zip(*(apart(t, self.spaced, self.divides) for t in texts))
+        self._learn(self.firsts, set(firsts), MAX_PIECES)
+        pieces = pc.split_pattern(pa.array(rests, type=pa.large_string()), _APART)
+        numbered = pieces.values.dictionary_encode()
+        distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = pa.array(self._rests_of(distinct), type=pa.large_binary()).take(numbered.indices)
+        if not len(ids):
+            return [self.firsts[a] for a in firsts]
+        _, ends, data = ids.buffers()
+        stops = np.frombuffer(ends, dtype=np.int64)[pieces.offsets.to_numpy()].tolist()
+        raw = memoryview(data if data is not None else b"")
+        return [self.firsts[a] + raw[i:j] for a, i, j in zip(firsts, stops, stops[1:])]
 
 
 #: The character that byte-level vocabularies write for each byte.

@@ -120,6 +120,31 @@ def test_new_words_are_encoded_together(path, monkeypatch):
         assert got == [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_pieces_are_looked_up_once_a_slice(path):
+    from estuary.llm.encoding import library_encoder
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key):
+            Counted.asked += 1
+            return super().get(key)
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+
+    encoder = library_encoder(path)
+    encoder.rests = Counted(encoder.rests)
+    texts = ["the cat, the dog\n" + "and the mouse " * 2000] * 9 + ["a\0b \0 the cat\0", "\0", " "]
+    got = [np.frombuffer(x, dtype="<u4").tolist() for x in encoder.encode(texts)]
+    assert got == [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert Counted.asked < 100
+    encoder.rests = dict(encoder.rests)
+    assert encoder.encode([]) == []
+
+
 def test_token_files(spark, odd):
     path = scratch_path(spark, "test")
     token_output.write_token_files(odd, path, WORD)

@@ -2,10 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estuary.llm.common import stored
+from estuary.llm.common import ship_package, stored
+
+#: Links that one task contracts to the end.  Rounds over so few would each cost
+#: the driver some ten jobs, and their plans and task reports its memory.
+FEW = 2_000
+
+
+def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, p): the root of each node over all links (u, v) of the task."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            a, b = find(u), find(v)
+            parent[max(a, b)] = min(a, b)
+    nodes = list(parent)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, type=pa.int64()), pa.array([find(x) for x in nodes], type=pa.int64())], names=["u", "p"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,11 +39,16 @@ def components(edges: DataFrame) -> DataFrame:
     Each round contracts every node into the neighbour of least random rank
     and rewires the links, so the links left shrink by a constant factor on
     average whatever the shape of the graph; no component ever meets in one
-    task, and a hub is only the target of a partial minimum.
+    task, and a hub is only the target of a partial minimum.  The last links,
+    ``FEW`` at most whatever the input, are contracted at once.
     """
+    ship_package(edges.sparkSession)
     rest = stored(edges.where("u <> v").select("u", "v").distinct(), "links")
     maps: list[DataFrame] = []
-    while not rest.isEmpty():
+    while n := rest.count():
+        if n <= FEW:
+            maps.append(stored(rest.repartition(1).mapInArrow(_roots, "u bigint, p bigint"), "parents"))
+            break
         rank = F.xxhash64("v", F.lit(len(maps)))
         both = rest.select("u", "v").union(rest.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min(F.struct(rank.alias("r"), F.col("v").alias("v"))).alias("m"))

@@ -24,6 +24,7 @@ repeated rows are scored as often as they occur.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -89,7 +90,7 @@ def by_length(words: list[str], size: int = 4096) -> Iterator[np.ndarray]:
 
 
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Normalised kernel values of words against landmarks, in half precision: the matrix is the driver's largest."""
+    """Normalised kernel values of words against landmarks, in half precision: the matrix is the training task's largest."""
     code, lengths = codes(landmarks)
     place = np.zeros(_LETTERS ** 3, dtype=np.int32)
     used = np.unique(np.concatenate([ids.ravel() for ids, _ in triples(code)]))
@@ -320,13 +321,24 @@ def fold(id_col):
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Model | None:
-    """Fit on the bounded sample of labelled documents outside the held-out fold."""
+    """Fit on the bounded sample of labelled documents outside the held-out fold.
+
+    A task holds the sample and the kernel matrices; the driver gets the model alone.
+    """
     known = labels.where(F.col(label_col).isNotNull() & (fold(F.col("doc_id")) != 1)).groupBy("doc_id").agg(F.max(label_col).alias("y"))
     ranked = [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_DOCS) for y in (0, 1)]
     sample = F.broadcast(ranked[0].union(ranked[1]))  # at most 2 * MAX_DOCS ids
-    rows = docs.select("doc_id", "text").where(F.length("text") <= MAX_CHARS).join(sample, "doc_id").select("doc_id", "text", "y")
-    rows = sorted({(r.doc_id, r.text, int(r.y)) for r in rows.collect()})
-    return fit([t for _, t, _ in rows], [y for _, _, y in rows])
+    rows = docs.select("doc_id", "text").where(F.length("text") <= MAX_CHARS).join(sample, "doc_id").select("doc_id", "text", F.col("y").cast("int"))
+    ship_package(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
+        known = sorted({tuple(r.values()) for batch in batches for r in batch.to_pylist()})
+        model = fit([t for _, t, _ in known], [y for _, _, y in known])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], type=pa.binary())], names=["model"])
+
+    found = rows.repartition(1).mapInArrow(run, "model binary").collect()  # one weight a feature: 1 MB
+    return pickle.loads(found[0].model) if found else None
 
 
 class Scorer:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from estuary.llm import bpe, fingerprints, licenses, near_dedup, neighbours, packing, pii, suffix_dedup, token_output, toxicity
-from estuary.llm.common import scratch_path
+from estuary.llm.common import scratch_path, stored
 from estuary.llm.graphs import components
 from estuary.llm.shingles import shingle_sets
 
@@ -256,6 +256,20 @@ def test_components_of_paths_and_stars(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("few", [0, 60])
+def test_components_by_rounds_and_at_once(spark, monkeypatch, few):
+    from estuary.llm import graphs
+
+    at_once = []
+    monkeypatch.setattr(graphs, "FEW", few)
+    monkeypatch.setattr(graphs, "stored", lambda df, name: (at_once.append("MapInArrow" in df._jdf.queryExecution().toString()), stored(df, name))[1])
+    links = [(i, i + 1) for i in range(200)] + [(300 + i, 300) for i in range(1, 50)] + [(900, 901), (901, 900), (902, 902)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
+    assert got == brute_components({x for e in links for x in e if e[0] != e[1]}, links[:-1])
+    assert sum(at_once) == (few > 0)
+    assert components(spark.createDataFrame([(3, 3)], "u long, v long")).collect() == []
+
+
 def test_shingle_sets_short_and_empty():
     a, b, c, d, e = shingle_sets([b"One two", b"one  TWO\n", b"", b"one two three four five", b" \t "])
     assert a.tolist() == b.tolist() and len(a) == 1 and len(c) == 0 and len(d) == 1 and len(e) == 0
@@ -520,6 +534,17 @@ def test_toxicity_tolerates_inserted_characters():
     assert scorer.scores(["", "   "]).max() < 0.1
 
 
+def test_toxicity_trains_outside_the_driver(spark, monkeypatch):
+    import os
+
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels: (os.getpid(), texts, labels))
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(9)] + [(3, "text 3"), (4, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id long, toxic int")
+    pid, texts, known = toxicity.train(docs, labels)
+    learned = [i for i in range(9) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert pid != os.getpid() and texts == [f"text {i}" for i in learned] and known == [i % 2 for i in learned]
+
+
 def test_toxicity_odd(spark, odd):
     labels = spark.createDataFrame([(4, 0), (4, None), (5, 1), (None, 1), (77, 1)], "doc_id long, toxic int")
     model = toxicity.train(odd, labels)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from estuary.functions.rsem import num
+from estuary.functions.rsem import num, tail_first, tail_last
+from estuary.operators.physical import HAUL, HAUL_TAIL, by_haul, restrict
 
 
 def length_rows(lengths: DataFrame) -> DataFrame:
@@ -18,18 +19,23 @@ def length_rows(lengths: DataFrame) -> DataFrame:
     return df.where(F.col("sl").isNotNull())
 
 
-def lengths_matched(rows: DataFrame, lens: DataFrame) -> DataFrame:
-    """L2: lengths attached to their catch record; records without a count dropped.
+def matched_by_haul(rows: DataFrame, lens: DataFrame) -> DataFrame:
+    """L2 with the haul as ``_haul``, see ``by_haul``.
 
-    Equi-join on (reference, species_record_id): both sides are shuffled on
+    Equi-join on (haul, species_record_id): both sides are shuffled on
     those keys (or the smaller broadcast when AQE measures it small)."""
-    fish = rows.select("reference", F.col("species_record_id").cast("double").alias("species_record_id"),
-                       "bio_reference", "species", "number")
-    m = fish.join(lens.select("reference", "species_record_id", "length_record_id", "sl"),
-                  ["reference", "species_record_id"], "inner")
-    m = m.where(F.col("number").isNotNull() & (F.col("number") != 0))
-    return m.select("reference", "bio_reference", "species_record_id", "length_record_id",
-                    "species", "sl")
+    fish = by_haul(rows).select(HAUL, F.col("species_record_id").cast("double").alias("species_record_id"),
+                                "bio_reference", "species", "number")
+    m = fish.join(by_haul(lens).select(HAUL, "species_record_id", "length_record_id", "sl"),
+                  [HAUL, "species_record_id"], "inner")
+    return m.where(F.col("number").isNotNull() & (F.col("number") != 0))
+
+
+def lengths_matched(rows: DataFrame, lens: DataFrame) -> DataFrame:
+    """L2: lengths attached to their catch record; records without a count dropped."""
+    return matched_by_haul(rows, lens).select(
+        F.expr(tail_last(HAUL, HAUL_TAIL)).alias("reference"),
+        "bio_reference", "species_record_id", "length_record_id", "species", "sl")
 
 
 def length_frequency(matched: DataFrame) -> DataFrame:
@@ -56,22 +62,27 @@ def length_dataset(freq: DataFrame) -> DataFrame:
 
 # A sample or species may be missing, and missing matches missing (L6).  The
 # same pair as texts without NULL: plain equality does, and what is dealt
-# by these columns for one step is dealt right for the next.
+# by these columns for one step is dealt right for the next.  The sample leads
+# with its end (see ``tail_first``): haul number, SC and split level.
 PAIR = ["_sample", "_species"]
+SAMPLE_TAIL = HAUL_TAIL + 2
 
 
 def pair_columns(df: DataFrame) -> DataFrame:
     """``df`` with the normalised (sample, species) pair."""
-    def known(x: str) -> Column:
-        return F.coalesce(F.concat(F.lit("="), F.col(x)), F.lit(""))
-
-    return df.withColumns({k: known(x) for k, x in zip(PAIR, ("bio_reference", "species"))})
+    return df.withColumns({
+        "_sample": F.expr(f"coalesce(concat({tail_first('bio_reference', SAMPLE_TAIL)}, '='), '')"),
+        "_species": F.expr("coalesce(concat('=', species), '')"),
+    })
 
 
 def pair_values(df: DataFrame) -> DataFrame:
     """``bio_reference`` and ``species`` back from the pair."""
-    return df.withColumns({x: F.expr(f"CASE WHEN {k} <> '' THEN substring({k}, 2) END")
-                           for k, x in zip(PAIR, ("bio_reference", "species"))}).drop(*PAIR)
+    sample = "substring(_sample, 1, length(_sample) - 1)"
+    return df.withColumns({
+        "bio_reference": F.expr(f"CASE WHEN _sample <> '' THEN {tail_last(sample, SAMPLE_TAIL)} END"),
+        "species": F.expr("CASE WHEN _species <> '' THEN substring(_species, 2) END"),
+    }).drop(*PAIR)
 
 
 def lengths_in(lens: DataFrame, com: DataFrame) -> DataFrame:
@@ -103,9 +114,9 @@ def kept_length_dataset(rows: DataFrame, lengths: DataFrame, keys: DataFrame,
     Frequencies, filter and sum speak of the same normalised pair.  The
     filter keeps or drops whole pairs, so it may come before the sum: the
     pre-combined frequencies are dealt by the pair once, for both."""
-    matched = pair_columns(lengths_matched(rows, length_rows(lengths)))
-    freq = matched.groupBy(*PAIR, "sl", "reference").agg(F.count(F.lit(1)).alias("count"))
-    freq = freq.join(keys, "reference", "left_semi").drop("reference")
+    matched = pair_columns(matched_by_haul(rows, length_rows(lengths)))
+    freq = matched.groupBy(*PAIR, "sl", HAUL).agg(F.count(F.lit(1)).alias("count"))
+    freq = restrict(freq, by_haul(keys), HAUL).drop(HAUL)
     if com is not None:
         pairs = pair_columns(com.select("bio_reference", "species")).select(*PAIR).distinct()
         freq = freq.join(pairs, PAIR, "left_semi")

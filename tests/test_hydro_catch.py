@@ -76,3 +76,34 @@ def test_lengths_metamorphic_and_null_species(spark):
     final = lengths.lengths_in(ds, com)
     got = sorted((r["species"] or "", r["sl"], r["count"], r["nl"]) for r in final.collect())
     assert got == [("", 30.0, 1, 1), ("8835440102", 20.0, 2, 3), ("8835440102", 21.0, 1, 3)]
+
+
+def test_keys_with_their_end_in_front_come_back(spark):
+    from estuary.functions.rsem import tail_first, tail_last
+    texts = ["", "7", "ABCDEFG", "ABCDEFGH", "ABCDEFGHI", "TBM2005A001", "äöü-ñ€-Küste-01", "  ", None]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    for n in (8, 10):
+        turned = df.withColumn("t", F.expr(tail_first("x", n))).withColumn("b", F.expr(tail_last("t", n)))
+        rows = turned.collect()
+        assert [r["b"] for r in rows] == texts
+        assert len({r["t"] for r in rows}) == len(texts)
+        assert all(len(r["t"]) == len(r["x"]) for r in rows if r["x"] is not None)
+    assert df.where("x = 'TBM2005A001'").select(F.expr(tail_first("x", 8))).collect()[0][0] == "2005A001TBM"
+
+
+def test_length_pairs_of_odd_keys(spark):
+    """Short, empty and missing keys of hauls, and one that is not kept."""
+    refs = ["TBM2005A001", "TBM2005A002", "7", "", None]
+    counts = frame(spark, schemas.COUNTS, [count_row(r, 1) for r in refs] + [count_row("7", 2, code=None)])
+    lens = frame(spark, schemas.LENGTHS, [
+        dict(reference=r, species_record_id=str(rid), length_record_id="1", length="20")
+        for r, rid in [(r, 1) for r in refs] + [("7", 2)]])
+    rows = catch.catch_rows(counts)
+    keys = spark.createDataFrame([("TBM2005A001",), ("7",), ("",), (None,)], "reference string")
+    com = catch.catch_totals(rows)
+    got = lengths.kept_length_dataset(rows, lens, keys, com).collect()
+    assert sorted((r["bio_reference"], r["species"] or "", r["nl"], r["count"]) for r in got) == [
+        ("7A1", "", 1, 1), ("7A1", "8835440102", 1, 1), ("A1", "8835440102", 1, 1),
+        ("TBM2005A001A1", "8835440102", 1, 1)]
+    matched = lengths.lengths_matched(rows, lengths.length_rows(lens)).collect()
+    assert sorted(r["reference"] for r in matched) == sorted([r for r in refs if r is not None] + ["7"])

@@ -112,6 +112,17 @@ def test_lengths_are_dealt_by_the_pair_once(spark, tables, tmpdir_path):
     assert "coalesce(bio_reference" not in "".join(re.findall(r"Exchange.*", plan))
 
 
+def test_length_plan_sorts_by_the_ends_of_keys(spark, tables):
+    """Keys of hauls begin alike: sorted as they are, nearly every comparison looks two rows up."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = pipeline.run_analysis(tables, ALL_HAULS).len._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sorts = re.findall(r"Sort \[(\w+)#", plan)
+    assert "reference" not in sorts and {"_haul", "_sample"} <= set(sorts)
+
+
 def test_missing_scores_are_picked_over_few_columns(spark, tables, tmpdir_path):
     t = stored_tables(spark, tables, tmpdir_path)
     a = pipeline.run_analysis(t, ALL_HAULS)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from estuary.functions.rsem import num, tail_first, tail_last
-from estuary.operators.physical import HAUL, HAUL_TAIL, by_haul, restrict
+from estuary.functions.rsem import num, num_text, tail_first, tail_last
+from estuary.operators.catch import IN_HAUL, RECORD, by_record, kept_records, sample_sql
+from estuary.operators.physical import HAUL, HAUL_TAIL, by_haul
 
 
 def length_rows(lengths: DataFrame) -> DataFrame:
@@ -19,23 +20,27 @@ def length_rows(lengths: DataFrame) -> DataFrame:
     return df.where(F.col("sl").isNotNull())
 
 
-def matched_by_haul(rows: DataFrame, lens: DataFrame) -> DataFrame:
-    """L2 with the haul as ``_haul``, see ``by_haul``.
+def counted(fish: DataFrame) -> DataFrame:
+    """Records with a count, neither missing nor 0."""
+    return fish.where(F.col("number").isNotNull() & (F.col("number") != 0))
 
-    Equi-join on (haul, species_record_id): both sides are shuffled on
-    those keys (or the smaller broadcast when AQE measures it small)."""
-    fish = by_haul(rows).select(HAUL, F.col("species_record_id").cast("double").alias("species_record_id"),
-                                "bio_reference", "species", "number")
-    m = fish.join(by_haul(lens).select(HAUL, "species_record_id", "length_record_id", "sl"),
-                  [HAUL, "species_record_id"], "inner")
-    return m.where(F.col("number").isNotNull() & (F.col("number") != 0))
+
+def matched_records(fish: DataFrame, lens: DataFrame) -> DataFrame:
+    """L2 for catch records by ``_haul`` and ``_record``, see ``catch.by_record``.
+
+    Equi-join on the two: both sides are shuffled on those keys (or the smaller
+    broadcast when AQE measures it small).  A length without a record id
+    becomes '-', which no catch record has: without NULL in the key, Spark adds no
+    filter that would work the text out a second time."""
+    record = F.coalesce(num_text("species_record_id"), F.lit("-"))
+    return fish.join(by_haul(lens).select(HAUL, record.alias(RECORD), "length_record_id", "sl"), [HAUL, RECORD], "inner")
 
 
 def lengths_matched(rows: DataFrame, lens: DataFrame) -> DataFrame:
     """L2: lengths attached to their catch record; records without a count dropped."""
-    return matched_by_haul(rows, lens).select(
-        F.expr(tail_last(HAUL, HAUL_TAIL)).alias("reference"),
-        "bio_reference", "species_record_id", "length_record_id", "species", "sl")
+    return matched_records(counted(by_record(rows)), lens).select(
+        F.expr(tail_last(HAUL, HAUL_TAIL)).alias("reference"), F.expr(sample_sql()).alias("bio_reference"),
+        F.col(RECORD).cast("double").alias("species_record_id"), "length_record_id", "species", "sl")
 
 
 def length_frequency(matched: DataFrame) -> DataFrame:
@@ -103,22 +108,27 @@ def length_pipeline(rows: DataFrame, lengths: DataFrame) -> DataFrame:
 
 def kept_length_dataset(rows: DataFrame, lengths: DataFrame, keys: DataFrame,
                         com: DataFrame | None = None) -> DataFrame:
-    """L1-L6 for the kept hauls, written join -> aggregate -> restrict -> filter -> sum.
+    """L1-L6 for the kept hauls, written restrict -> join -> aggregate -> filter -> sum.
 
-    The frequency aggregate also groups by the haul (which the sample key
-    already determines), so the kept-haul semi join can follow it: Catalyst
-    moves it below the aggregate and the join when the key set can be
-    broadcast (rows filtered map-side first); otherwise it runs on the
-    aggregated frequencies instead of shuffling raw catch rows twice.
+    The catch records are restricted to the kept hauls before the match.
+    Frequencies are first counted by record, which takes the partitioning of
+    the match; the rows are still in the order of the hauls then and
+    compress well when they are dealt by the pair.
 
     Frequencies, filter and sum speak of the same normalised pair.  The
     filter keeps or drops whole pairs, so it may come before the sum: the
-    pre-combined frequencies are dealt by the pair once, for both."""
-    matched = pair_columns(matched_by_haul(rows, length_rows(lengths)))
-    freq = matched.groupBy(*PAIR, "sl", HAUL).agg(F.count(F.lit(1)).alias("count"))
-    freq = restrict(freq, by_haul(keys), HAUL).drop(HAUL)
+    frequencies are dealt by the pair once, for both and for the counts by
+    sample, species, length and haul.  The sum comes before these counts, as
+    it takes the order of the filter's join."""
+    fish = counted(kept_records(rows, keys))
+    matched = matched_records(fish, length_rows(lengths))
+    freq = matched.groupBy(HAUL, RECORD, IN_HAUL, "species", "sl").agg(F.count(F.lit(1)).alias("count"))
+    # tells the haul, together with the sample
+    haul = F.expr(f"CASE WHEN startswith({IN_HAUL}, '=') THEN {IN_HAUL} ELSE concat('-', {HAUL}) END")
+    freq = pair_columns(freq.withColumns({"bio_reference": F.expr(sample_sql()), "_of": haul})).select(*PAIR, "_of", "sl", "count")
     if com is not None:
         pairs = pair_columns(com.select("bio_reference", "species")).select(*PAIR).distinct()
         freq = freq.join(pairs, PAIR, "left_semi")
     total = F.sum("count").over(Window.partitionBy(*PAIR))
-    return pair_values(freq.withColumn("nl", total)).select("bio_reference", "species", "nl", "count", "sl")
+    freq = freq.withColumn("nl", total).groupBy(*PAIR, "nl", "_of", "sl").agg(F.sum("count").alias("count"))
+    return pair_values(freq).select("bio_reference", "species", "nl", "count", "sl")

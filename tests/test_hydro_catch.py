@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from estuary.config import ALL_HAULS
 from estuary.operators import catch, hydro, lengths, physical
+from estuary.plans import pipeline
 from estuary.sources import schemas
 from tests.conftest import frame, haul
 
@@ -107,3 +108,34 @@ def test_length_pairs_of_odd_keys(spark):
         ("TBM2005A001A1", "8835440102", 1, 1)]
     matched = lengths.lengths_matched(rows, lengths.length_rows(lens)).collect()
     assert sorted(r["reference"] for r in matched) == sorted([r for r in refs if r is not None] + ["7"])
+
+
+def test_kept_lengths_equal_the_operators_one_by_one(spark):
+    """Repeated rows and ids, missing and odd ids, hauls written in small letters, records that share a pair."""
+    refs = ["TBM2005A001", "tbm2005a001", "TBM2005A002", "TBM2005A003", "7", "", "abc", "ABC", None]
+    counts = frame(spark, schemas.COUNTS, [
+        count_row(r, rid, code=code, number=n) for r in refs
+        for rid, code, n in [(1, "8835440102", 10.0), (2, "8835440102", 3.0), (2, "8835440102", 3.0), (3, None, 1.0),
+                             (4, "8747010401", 0.0), (5, "8747010401", None), (None, "8835440102", 2.0), (0, "9998000000", 1.0)]])
+    lens = frame(spark, schemas.LENGTHS, [
+        dict(reference=r, species_record_id=rid, length_record_id=str(k), length=ln) for r in refs
+        for k, (rid, ln) in enumerate([("1", "20"), ("1.0", "20"), (" 1 ", "21"), ("1", "x"), ("2", "20"), ("2", "2e1"), ("2", "-0"),
+                                       ("2", "0"), ("3", "30"), ("4", "20"), ("5", "20"), (None, "20"), ("", "20"), ("-", "20"),
+                                       ("-0", "22"), ("1.5", "20"), ("1e20", "20"), ("NaN", "20")])])
+    keys = spark.createDataFrame([("TBM2005A001",), ("tbm2005a001",), ("TBM2005A002",), ("7",), ("",), ("abc",), ("ABC",), ("ABC",), (None,)],
+                                 "reference string")
+    rows = catch.catch_rows(counts)
+    com = pipeline.com_pairs(keys, rows, keys).where("bio_reference IS NULL OR bio_reference NOT LIKE 'TBM2005A002%'")
+
+    matched = physical.restrict(lengths.lengths_matched(rows, lengths.length_rows(lens)), keys)
+    freq = matched.groupBy("reference", "bio_reference", "species", "sl").agg(F.count("*").alias("count"))
+    total = freq.groupBy("bio_reference", "species").agg(F.sum("count").alias("nl"))
+    joined = freq.alias("f").join(total.alias("t"), F.expr("f.bio_reference = t.bio_reference AND f.species <=> t.species"))
+    wanted = lengths.lengths_in(joined.selectExpr("f.bio_reference", "f.species", "nl", "count", "sl"), com).collect()
+    got = lengths.kept_length_dataset(rows, lens, keys, com).collect()
+    text = lambda found: sorted(tuple(map(str, r)) for r in found)
+    assert text(got) == text(wanted)
+    # two hauls share a sample key: their counts stay apart, the number measured is of both
+    one = sorted((r["sl"], r["count"], r["nl"]) for r in got if r["bio_reference"] == "ABCA1" and r["species"] == "8835440102")
+    assert one == [(0.0, 4, 22), (0.0, 4, 22), (20.0, 6, 22), (20.0, 6, 22), (21.0, 1, 22), (21.0, 1, 22)]
+    assert {r["bio_reference"] for r in got} == {"TBM2005A001A1", "7A1", "A1", "ABCA1"}

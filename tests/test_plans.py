@@ -123,6 +123,35 @@ def test_length_plan_sorts_by_the_ends_of_keys(spark, tables):
     assert "reference" not in sorts and {"_haul", "_sample"} <= set(sorts)
 
 
+def shuffled_plan(spark, df):
+    """The final adaptive plan of ``df()`` with every join shuffled."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    kept = [spark.conf.get(n) for n in names]
+    for n in names:
+        spark.conf.set(n, "-1")
+    try:
+        return final_plan(df())
+    finally:
+        for n, v in zip(names, kept):
+            spark.conf.set(n, v)
+
+
+def test_length_plan_shuffles_each_table_once(spark, tables, tmpdir_path):
+    """Match and pairs share the catch records; the frequencies are dealt by the pair only."""
+    t = stored_tables(spark, tables, tmpdir_path)
+    plan = shuffled_plan(spark, lambda: pipeline.run_analysis(t, ALL_HAULS).len)
+    exchanges = sorted(re.sub(r"#\d+", "", x) for x in re.findall(r"\+- Exchange hashpartitioning\((.*), \d+\), ENSURE", plan))
+    # hauls, kept hauls and catch; catch and lengths; frequencies and pairs
+    assert exchanges == ["_haul"] * 3 + ["_haul, _record"] * 2 + ["_sample, _species"] * 2
+    for name in ("biology_counts", "biology_lengths"):
+        assert len([x for x in plan.split("\n") if "FileScan" in x and name in x]) == 1, name
+
+
+def test_lines_are_shuffled_once_for_catch_and_lengths(spark, tables):
+    plan = shuffled_plan(spark, lambda: pipeline.run_analysis(tables, ALL_HAULS).len)
+    assert len([x for x in plan.split("\n") if "FileScan" in x and "lineitem.parquet" in x]) == 1
+
+
 def test_missing_scores_are_picked_over_few_columns(spark, tables, tmpdir_path):
     t = stored_tables(spark, tables, tmpdir_path)
     a = pipeline.run_analysis(t, ALL_HAULS)
